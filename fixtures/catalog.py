@@ -254,7 +254,7 @@ def lexicon_table(spark, sf_dir):
 @query("select k doc_id, compound, pos, neu, neg from v_doc_scores")
 def sentiment_base(spark, sf_dir):
     lexicon = v.lexicon(spark, sf_dir)
-    scored = v.documents(spark, sf_dir).select("doc_id", score(F.col("text"), lexicon).alias("s"))
+    scored = v.documents(spark, sf_dir).select("doc_id", score("text", lexicon).alias("s"))
     return scored.select("doc_id", *_scores())
 
 
@@ -262,7 +262,7 @@ def sentiment_base(spark, sf_dir):
 def sentiment_rules(spark, sf_dir):
     lexicon = v.lexicon(spark, sf_dir)
     scored = v.cued_documents(spark, sf_dir).select(
-        "doc_id", score(F.col("text"), lexicon).alias("s")
+        "doc_id", score("text", lexicon).alias("s")
     )
     return scored.select("doc_id", *_scores())
 
@@ -290,7 +290,7 @@ def sentiment_empty_text(spark, sf_dir):
     return (
         v.documents(spark, sf_dir)
         .select("doc_id", F.explode(variants).alias("x"))
-        .select("doc_id", "x.variant", score(F.col("x.t"), v.lexicon(spark, sf_dir)).alias("s"))
+        .select("doc_id", "x.variant", score("x.t", v.lexicon(spark, sf_dir)).alias("s"))
         .select("doc_id", "variant", *_scores())
     )
 

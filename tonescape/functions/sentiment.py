@@ -9,12 +9,16 @@ the texts, so scoring a feed costs one scan of it. The lexicon travels with the
 task as a literal. A map lookup scans its keys, so the literal is split by token
 hash into many tiny maps; each token then costs one hash and one short lookup.
 
+The expression is written as SQL text, because it has several hundred nodes: one parse
+is far quicker than building them one by one from Python.
+
 All sums are integers (millionths of a valence point), so a score does not depend
 on the order of additions.
 """
 
 from __future__ import annotations
 
+import base64
 import json
 import re
 import zlib
@@ -24,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonescape.functions.text import SPACE, let
+from tonescape.functions.text import SPACE
 
 # Fixed values of the published method.
 BOOST = 0.293
@@ -85,9 +89,6 @@ EDGE_MARKS = [
 #: Most entries a lexicon may have: it is shipped to every task, so its size is checked.
 MAX_ENTRIES = 200_000
 
-SCORE_TYPE = "struct<compound:double,pos:double,neu:double,neg:double>"
-
-
 @dataclass(frozen=True)
 class Rules:
     """Word lists of the method; the defaults are the published ones."""
@@ -118,6 +119,7 @@ class Lexicon:
         if len(entries) > MAX_ENTRIES:
             raise ValueError(f"a lexicon may have at most {MAX_ENTRIES} entries")
         self.entries = entries
+        self._lookup = self._literal()
 
     @classmethod
     def from_table(cls, table: DataFrame, rules: Rules | None = None) -> Lexicon:
@@ -127,276 +129,225 @@ class Lexicon:
             raise ValueError(f"a lexicon may have at most {MAX_ENTRIES} entries")
         return cls({r.token: r.valence for r in rows}, rules)
 
-    def buckets(self) -> tuple[Column, int]:
+    def _literal(self) -> tuple[str, int]:
         """The entries as one literal: an array of small maps, chosen by token hash."""
         size = 1 << max(4, len(self.entries).bit_length())
         slots: list[dict] = [{} for _ in range(size)]
         for token, entry in self.entries.items():
             slots[zlib.crc32(token.encode()) % size][token] = entry
-        literal = F.from_json(
-            F.lit(json.dumps(slots)), "array<map<string,struct<v:double,b:double,n:boolean,p:boolean>>>"
-        )
+        text = base64.b64encode(json.dumps(slots).encode()).decode()
+        entry = "struct<v:double,b:double,n:boolean,p:boolean>"
+        literal = f"from_json(cast(unbase64('{text}') as string), 'array<map<string,{entry}>>')"
         return literal, size
 
-
-def _micro(value: Column) -> Column:
-    return F.floor(value * 1_000_000 + 0.5)
-
-
-_MARKS = "|".join(re.escape(m) for m in sorted(EDGE_MARKS, key=len, reverse=True))
-_EDGED = rf"^(?:([^\p{{Punct}}]{{2,}}+)(?:{_MARKS})|(?:{_MARKS})([^\p{{Punct}}]{{2,}}+))$"
-_ENDS = sorted({m[-1] for m in EDGE_MARKS})
+    def entry(self, token: str) -> str:
+        literal, size = self._lookup
+        return f"get({literal}, cast(pmod(crc32(cast({token} as binary)), {size}) as int))[{token}]"
 
 
-def _cut_mark(token: Column) -> Column:
-    """Cut one mark from either end of a word; the pattern runs only where it may match."""
-    candidate = F.substring(token, -1, 1).isin(_ENDS) | F.substring(token, 1, 1).isin(_ENDS)
-    return F.when(candidate, F.regexp_replace(token, _EDGED, "$1$2")).otherwise(token)
+def _quoted(text: str) -> str:
+    """A SQL string without escapes, whatever the parser settings are."""
+    return "concat(" + ", char(39), ".join(f"'{part}'" for part in text.split("'")) + ")"
 
 
-def tokens(text: Column) -> Column:
-    """Tokens of the method, in order and in their own case; single characters are dropped."""
-    longer = F.filter(F.split(text, f"{SPACE}+"), lambda t: F.length(t) > 1)
-    return F.transform(longer, _cut_mark)
+def _number(value: float) -> str:
+    return f"cast({float(value)!r} as double)"
 
 
-def _is_caps(token: Column) -> Column:
-    return (F.upper(token) == token) & (F.lower(token) != token)
+def _let(name: str, value: str, body: str) -> str:
+    """Evaluate ``value`` once and use it in ``body`` by name."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _one_of(token: Column, *words: str) -> Column:
-    return F.coalesce(token.isin(*words), F.lit(False))
+_MARKS = "|".join(re.escape(m) for m in sorted(EDGE_MARKS, key=len, reverse=True))
+_MARKS = _MARKS.replace("'", r"\x27")
+_EDGED = rf"^(?:([^\p{{Punct}}]{{2,}}+)(?:{_MARKS})|(?:{_MARKS})([^\p{{Punct}}]{{2,}}+))$"
+_ENDS = ", ".join(_quoted(m) for m in sorted({m[-1] for m in EDGE_MARKS}))
 
 
-def _phrase(table: Mapping[str, float], *parts: Column) -> Column:
-    """Value of the phrase made of ``parts``; null when absent or a part is missing."""
-    known = {k: v for k, v in table.items() if k.count(" ") == len(parts) - 1}
-    if not known:
-        return F.lit(None).cast("double")
-    pairs = [F.lit(x) for k, v in known.items() for x in (k, float(v))]
-    phrase = parts[0]
-    for part in parts[1:]:
-        phrase = F.concat(phrase, F.lit(" "), part)
-    return F.try_element_at(F.create_map(*pairs), phrase)
+def _tokens(text: str) -> str:
+    """Tokens in order and in their own case; single characters are dropped.
 
+    One mark is cut from either end of a word; the pattern runs only where it may match.
+    """
+    return f"""
+        transform(
+          filter(split({text}, r'{SPACE}+'), t -> length(t) > 1),
+          t -> if(substring(t, -1, 1) in ({_ENDS}) or substring(t, 1, 1) in ({_ENDS}),
+                  regexp_replace(t, r'{_EDGED}', '$1$2'), t))"""
 
-class _Context:
-    """Access to the tokens around position ``i`` of one text."""
 
-    def __init__(self, doc: Column, info: Column, i: Column):
-        self.doc, self.info, self.i = doc, info, i
+def _at(array: str, offset: int) -> str:
+    return f"get({array}, i + ({offset}))"
 
-    def _at(self, array: Column, offset: int) -> Column:
-        return F.get(array, self.i + offset)
 
-    def raw(self, offset: int) -> Column:
-        return self._at(self.doc["raw"], offset)
+def _is_caps(token: str) -> str:
+    return f"(upper({token}) = {token} and lower({token}) <> {token})"
 
-    def low(self, offset: int) -> Column:
-        return self._at(self.doc["low"], offset)
 
-    def entry(self, offset: int) -> Column:
-        return self._at(self.info, offset)
+def _says(offset: int, *words: str, array: str = "raw") -> str:
+    listed = ", ".join(f"'{w}'" for w in words)
+    return f"coalesce({_at(array, offset)} in ({listed}), false)"
 
-    def negates(self, offset: int) -> Column:
-        listed = F.coalesce(self.entry(offset)["n"], F.lit(False))
-        return listed | F.coalesce(F.contains(self.low(offset), F.lit("n't")), F.lit(False))
 
-    def emphasised(self, offset: int) -> Column:
-        return self.doc["mixed"] & _is_caps(self.raw(offset))
+def _negates(offset: int) -> str:
+    return (
+        f"(coalesce({_at('info', offset)}.n, false)"
+        f" or coalesce(contains({_at('low', offset)}, concat('n', char(39), 't')), false))"
+    )
 
 
-def _toward_sign(amount: Column, sign_of: Column) -> Column:
-    return F.when(sign_of > 0, amount).otherwise(-amount)
+def _caps_shift(offset: int, valence: str) -> str:
+    """Emphasis by capitals, toward the sign of the valence."""
+    toward = f"if({valence} > 0, {_number(CAPS)}, {_number(-CAPS)})"
+    return f"if(mixed and {_is_caps(_at('raw', offset))}, {toward}, {_number(0)})"
 
 
-def _never_factor(at: _Context, distance: int) -> Column:
+def _never_factor(distance: int) -> str:
     """Negation, softened or turned around by "never so" and "never this"."""
-    plain = F.when(at.negates(-distance), F.lit(NEGATE)).otherwise(F.lit(1.0))
+    plain = f"if({_negates(-distance)}, {_number(NEGATE)}, {_number(1)})"
     if distance == 1:
         return plain
-    near = _one_of(at.raw(-1), "so", "this")
+    near = _says(-1, "so", "this")
     if distance == 2:
-        return F.when(_one_of(at.raw(-2), "never") & near, F.lit(1.5)).otherwise(plain)
-    far = _one_of(at.raw(-3), "never") & _one_of(at.raw(-2), "so", "this")
-    return F.when(far | near, F.lit(1.25)).otherwise(plain)
+        return f"if({_says(-2, 'never')} and {near}, {_number(1.5)}, {plain})"
+    far = f"({_says(-3, 'never')} and {_says(-2, 'so', 'this')})"
+    return f"if({far} or {near}, {_number(1.25)}, {plain})"
 
 
-def _idiom_value(at: _Context, rules: Rules, valence: Column) -> Column:
-    pairs_and_triples = [(-1, 0), (-2, -1, 0), (-2, -1), (-3, -2, -1), (-3, -2)]
-    before = F.coalesce(
-        *[_phrase(rules.idioms, *[at.raw(o) for o in seq]) for seq in pairs_and_triples]
-    )
-    after = [_phrase(rules.idioms, *[at.raw(o) for o in seq]) for seq in [(0, 1, 2), (0, 1)]]
-    value = F.coalesce(*after, before, valence)
-    dampened = F.coalesce(
-        _phrase(rules.boosters, at.raw(-3), at.raw(-2)),
-        _phrase(rules.boosters, at.raw(-2), at.raw(-1)),
-    ).isNotNull()
-    return F.when(dampened, value - BOOST).otherwise(value)
+def _phrase(table: Mapping[str, float], *offsets: int) -> str:
+    """Value of the phrase at these places; null when unknown or a place is missing."""
+    known = {k: v for k, v in table.items() if k.count(" ") == len(offsets) - 1}
+    if not known:
+        return "cast(null as double)"
+    pairs = ", ".join(f"{_quoted(k)}, {_number(v)}" for k, v in known.items())
+    words = ", ' ', ".join(_at("raw", o) for o in offsets)
+    return f"try_element_at(map({pairs}), concat({words}))"
+
 
+def _idiom_value(rules: Rules, valence: str) -> str:
+    around = [(0, 1, 2), (0, 1), (-1, 0), (-2, -1, 0), (-2, -1), (-3, -2, -1), (-3, -2)]
+    idioms = ", ".join(_phrase(rules.idioms, *place) for place in around)
+    value = f"coalesce({idioms}, {valence})"
+    boosters = ", ".join(_phrase(rules.boosters, *place) for place in [(-3, -2), (-2, -1)])
+    return f"if(coalesce({boosters}) is not null, {value} - {_number(BOOST)}, {value})"
 
-def _step(at: _Context, rules: Rules, valence: Column, distance: int) -> Column:
+
+def _step(rules: Rules, valence: str, distance: int) -> str:
     """Effect of the token ``distance`` places before, when it carries no valence itself."""
-    applies = (at.i >= distance) & at.entry(-distance)["v"].isNull()
-    boost = at.entry(-distance)["b"]
-    shift = F.when(valence < 0, -boost).otherwise(boost)
-    shift = shift + F.when(
-        at.emphasised(-distance), _toward_sign(F.lit(CAPS), valence)
-    ).otherwise(F.lit(0.0))
-    shift = F.coalesce(shift * DISTANCE_DAMPING[distance - 1], F.lit(0.0))
-    changed = (valence + shift) * _never_factor(at, distance)
+    before = _at("info", -distance)
+    boost = f"if({valence} < 0, -{before}.b, {before}.b)"
+    shift = (
+        f"coalesce(({boost} + {_caps_shift(-distance, valence)})"
+        f" * {_number(DISTANCE_DAMPING[distance - 1])}, {_number(0)})"
+    )
+    changed = f"({valence} + {shift}) * {_never_factor(distance)}"
     if distance == 3:
-        plain = changed
-        near = F.coalesce(*[at.entry(o)["p"] for o in (0, -1, -2, 1, 2)], F.lit(False))
-        changed = F.when(near, let(plain, lambda v: _idiom_value(at, rules, v))).otherwise(plain)
-    return F.when(applies, changed).otherwise(valence)
+        near = ", ".join(f"{_at('info', o)}.p" for o in (0, -1, -2, 1, 2))
+        phrases = _let("plain", changed, _idiom_value(rules, "plain"))
+        changed = f"if(coalesce({near}, false), {phrases}, {changed})"
+    return f"if(i >= {distance} and {before}.v is null, {changed}, {valence})"
 
 
-def _least_factor(at: _Context) -> Column:
-    least = _one_of(at.low(-1), "least") & at.entry(-1)["v"].isNull()
-    excused = (at.i > 1) & _one_of(at.low(-2), "at", "very")
-    return F.when(least & ~excused, F.lit(NEGATE)).otherwise(F.lit(1.0))
+def _least_factor() -> str:
+    least = f"({_says(-1, 'least', array='low')} and {_at('info', -1)}.v is null)"
+    excused = f"(i > 1 and {_says(-2, 'at', 'very', array='low')})"
+    return f"if({least} and not {excused}, {_number(NEGATE)}, {_number(1)})"
 
 
-def _contrast_factor(doc: Column, i: Column) -> Column:
-    but = doc["but"]
-    return (
-        F.when((but < 0) | (i == but), F.lit(1.0))
-        .when(i < but, F.lit(BUT_BEFORE))
-        .otherwise(F.lit(BUT_AFTER))
-    )
+_CONTRAST_FACTOR = f"""
+    case when but < 0 or i = but then {_number(1)}
+         when i < but then {_number(BUT_BEFORE)} else {_number(BUT_AFTER)} end"""
 
 
-def _valence(doc: Column, info: Column, i: Column, rules: Rules) -> Column:
+def _valence(rules: Rules) -> str:
     """Adjusted valence, in millionths, of the lexicon token at position ``i``."""
-    at = _Context(doc, info, i)
-    base = at.entry(0)["v"]
-    base = base + F.when(at.emphasised(0), _toward_sign(F.lit(CAPS), base)).otherwise(F.lit(0.0))
-    after = let(
-        base,
-        lambda v0: let(
-            _step(at, rules, v0, 1),
-            lambda v1: let(_step(at, rules, v1, 2), lambda v2: _step(at, rules, v2, 3)),
+    base = f"{_at('info', 0)}.v"
+    chain = _let(
+        "v0",
+        _let("v", base, f"v + {_caps_shift(0, 'v')}"),
+        _let(
+            "v1",
+            _step(rules, "v0", 1),
+            _let("v2", _step(rules, "v1", 2), _step(rules, "v2", 3)),
         ),
     )
-    return _micro(after * _least_factor(at) * _contrast_factor(doc, i))
-
-
-def _document(text: Column) -> Column:
-    """Tokens in both cases, the place of the contrast word, and the capitals test."""
-
-    def build(t: Column) -> Column:
-        return F.struct(
-            t["raw"].alias("raw"),
-            t["low"].alias("low"),
-            (F.array_position(t["low"], "but") - 1).cast("int").alias("but"),
-            (F.exists(t["raw"], lambda w: ~_is_caps(w)) & F.exists(t["raw"], _is_caps)).alias(
-                "mixed"
-            ),
-        )
-
-    cased = let(
-        tokens(text),
-        lambda raw: F.struct(raw.alias("raw"), F.transform(raw, F.lower).alias("low")),
+    return (
+        f"floor({chain} * {_least_factor()} * ({_CONTRAST_FACTOR}) * 1000000 + {_number(0.5)})"
     )
-    return let(cased, build)
 
 
-def _emphasis(text: Column) -> Column:
+def _emphasis(text: str) -> str:
     """What exclamation and question marks add, in millionths."""
-    marks = lambda m: F.length(text) - F.length(F.replace(text, F.lit(m), F.lit("")))
-    shouts, asks = marks("!"), marks("?")
-    ask = (
-        F.when(asks <= 1, F.lit(0))
-        .when(asks <= 3, asks * round(QUESTION * 1_000_000))
-        .otherwise(F.lit(round(QUESTION_MAX * 1_000_000)))
-    )
-    shout = F.least(shouts, F.lit(EXCLAMATION_MAX)) * round(EXCLAMATION * 1_000_000)
-    return (shout + ask).cast("long")
-
-
-def _rounded(value: Column, digits: int) -> Column:
-    return F.floor(value * 10**digits + 0.5) / 10**digits
+    shouts, asks = (f"(length({text}) - length(replace({text}, '{m}', '')))" for m in "!?")
+    return f"""cast(
+        least({shouts}, {EXCLAMATION_MAX}) * {round(EXCLAMATION * 1_000_000)}
+        + case when {asks} <= 1 then 0 when {asks} <= 3
+               then {asks} * {round(QUESTION * 1_000_000)}
+               else {round(QUESTION_MAX * 1_000_000)} end as bigint)"""
 
 
-def _scores(sums: Column) -> Column:
-    """Four scores from the integer sums of one text."""
+def _rounded(value: str, digits: int) -> str:
+    return f"(floor({value} * {10**digits} + {_number(0.5)}) / {_number(10**digits)})"
 
-    def compound(s: Column) -> Column:
-        value = s / F.sqrt(s * s + F.lit(float(NORMALIZER)))
-        return _rounded(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value)), 4)
 
-    pos, neg, amp = sums["pos"], sums["neg"], sums["amp"]
-    total = sums["sum"]
-    total = total + F.when(total > 0, amp).when(total < 0, -amp).otherwise(F.lit(0))
-    pos_all = pos + F.when(pos > neg, amp).otherwise(F.lit(0))
-    neg_all = neg + F.when(pos < neg, amp).otherwise(F.lit(0))
+def _sum(values: str, value: str) -> str:
+    return f"aggregate({values}, 0L, (a, m) -> a + {value})"
 
-    def shares(p: Column) -> Column:
-        whole = (p["pos"] + p["neg"] + p["neu"]).cast("double")
-        return F.struct(
-            let((p["sum"] / F.lit(1e6)), compound).alias("compound"),
-            _rounded(p["pos"] / whole, 3).alias("pos"),
-            _rounded(p["neu"] / whole, 3).alias("neu"),
-            _rounded(p["neg"] / whole, 3).alias("neg"),
-        )
 
-    parts = F.struct(
-        total.alias("sum"),
-        pos_all.alias("pos"),
-        neg_all.alias("neg"),
-        (sums["neutral"] * F.lit(1_000_000)).alias("neu"),
+def _scores() -> str:
+    """Four scores from the integer sums of one text, ``r``."""
+    total = "r.total + case when r.total > 0 then r.amp when r.total < 0 then -r.amp else 0L end"
+    pos = "r.pos + if(r.pos > r.neg, r.amp, 0L)"
+    neg = "r.neg + if(r.pos < r.neg, r.amp, 0L)"
+    compound = (
+        f"greatest({_number(-1)}, least({_number(1)},"
+        f" s / sqrt(s * s + {_number(NORMALIZER)})))"
     )
-    return let(parts, shares)
-
-
-def score(text: Column, lexicon: Lexicon) -> Column:
-    """``struct<compound,pos,neu,neg>`` of a text; zeros for null and empty texts."""
-    literal, size = lexicon.buckets()
-    rules = lexicon.rules
-    unit = F.lit(1_000_000)
-
-    def entry(token: Column) -> Column:
-        slot = F.pmod(F.crc32(token.cast("binary")), F.lit(size)).cast("int")
-        return F.get(literal, slot)[token]
-
-    def carries_valence(info: Column, low: Column, i: Column) -> Column:
-        here = F.get(info, i)
-        kind_of = F.coalesce(
-            (F.get(low, i) == "kind") & (F.get(low, i + 1) == "of"), F.lit(False)
-        )
-        return here["v"].isNotNull() & here["b"].isNull() & ~kind_of
-
-    def measure(doc: Column) -> Column:
-        def with_info(info: Column) -> Column:
-            places = F.filter(
-                F.transform(info, lambda _, i: i),
-                lambda i: carries_valence(info, doc["low"], i),
-            )
-            return let(F.transform(places, lambda i: _valence(doc, info, i, rules)), totals)
-
-        def totals(values: Column) -> Column:
-            pos = F.aggregate(
-                values, F.lit(0).cast("long"),
-                lambda a, v: a + F.when(v > 0, v + unit).otherwise(F.lit(0)),
-            )
-            neg = F.aggregate(
-                values, F.lit(0).cast("long"),
-                lambda a, v: a + F.when(v < 0, unit - v).otherwise(F.lit(0)),
-            )
-            return F.struct(
-                F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v).alias("sum"),
-                pos.alias("pos"),
-                neg.alias("neg"),
-                (F.size(doc["low"]) - F.size(F.filter(values, lambda v: v != 0)))
-                .cast("long")
-                .alias("neutral"),
-                _emphasis(text).alias("amp"),
-            )
-
-        scored = let(let(F.transform(doc["low"], entry), with_info), _scores)
-        return F.when(F.size(doc["low"]) > 0, scored)
-
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("compound", "pos", "neu", "neg")])
-    return F.coalesce(let(_document(text), measure), zero)
+    whole = "cast(q.pos + q.neg + q.neu as double)"
+    shares = f"""named_struct(
+        'compound', {_let("s", f"q.total / {_number(1_000_000)}", _rounded(compound, 4))},
+        'pos', {_rounded(f"(q.pos / {whole})", 3)},
+        'neu', {_rounded(f"(q.neu / {whole})", 3)},
+        'neg', {_rounded(f"(q.neg / {whole})", 3)})"""
+    parts = f"""named_struct(
+        'total', {total}, 'pos', {pos}, 'neg', {neg}, 'neu', r.neutral * 1000000L)"""
+    return _let("q", parts, shares)
+
+
+def tokens(text: str) -> Column:
+    """Tokens of the method, for a column name or a SQL expression."""
+    return F.expr(_tokens(text))
+
+
+def score(text: str, lexicon: Lexicon) -> Column:
+    """``struct<compound,pos,neu,neg>`` of a text; zeros for null and empty texts.
+
+    ``text`` is a column name or a SQL expression.
+    """
+    sums = f"""named_struct(
+        'total', {_sum("vals", "m")},
+        'pos', {_sum("vals", "if(m > 0, m + 1000000L, 0L)")},
+        'neg', {_sum("vals", "if(m < 0, 1000000L - m, 0L)")},
+        'neutral', cast(size(low) - size(filter(vals, m -> m <> 0)) as bigint),
+        'amp', doc.amp)"""
+    places = f"""filter(
+        transform(info, (e, i) -> i),
+        i -> {_at('info', 0)}.v is not null and {_at('info', 0)}.b is null
+             and not ({_says(0, 'kind', array='low')} and {_says(1, 'of', array='low')}))"""
+    values = f"transform({places}, i -> {_valence(lexicon.rules)})"
+    measured = _let("r", _let("vals", values, sums), _scores())
+    mixed = f"exists(raw, t -> not {_is_caps('t')}) and exists(raw, t -> {_is_caps('t')})"
+    # Everything that mentions the caller's column comes first, outside any name of ours.
+    body = f"if(size(low) > 0, {measured}, null)"
+    for name, value in [
+        ("info", f"transform(low, t -> {lexicon.entry('t')})"),
+        ("mixed", mixed),
+        ("but", "cast(array_position(low, 'but') - 1 as int)"),
+        ("low", "transform(raw, t -> lower(t))"),
+        ("raw", "doc.raw"),
+        ("doc", f"named_struct('amp', {_emphasis(text)}, 'raw', {_tokens(text)})"),
+    ]:
+        body = _let(name, value, body)
+    zero = ", ".join(f"'{n}', {_number(0)}" for n in ("compound", "pos", "neu", "neg"))
+    return F.expr(f"coalesce({body}, named_struct({zero}))")

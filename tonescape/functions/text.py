@@ -20,7 +20,7 @@ ENTITIES = {
     "&gt;": ">",
     "&quot;": '"',
     "&apos;": "'",
-    "&nbsp;": " ",
+    "&nbsp;": "\u00a0",
     "&copy;": "©",
     "&reg;": "®",
     "&trade;": "™",
@@ -40,15 +40,6 @@ ENTITIES = {
 }
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
-
-    A column that is only mentioned inside a lambda may be inlined there by the
-    optimizer and computed again for every element; a lambda variable never is.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def strip_space(text: Column) -> Column:
     return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
 

@@ -18,17 +18,17 @@ def _flat(struct: str, prefix: str) -> dict:
 
 def score_posts(posts: DataFrame, lexicon: Lexicon, run_ts=None) -> DataFrame:
     """All scores of the title, and the compound of the body where there is one."""
-    out = posts.withColumn("title_sentiment", score(F.col("title"), lexicon))
+    out = posts.withColumn("title_sentiment", score("title", lexicon))
     out = out.withColumns(_flat("title_sentiment", "title_sentiment"))
     if "text" in posts.columns:
-        out = out.withColumn("text_sentiment", score(F.col("text"), lexicon))
+        out = out.withColumn("text_sentiment", score("text", lexicon))
         out = out.withColumn("text_sentiment_compound", F.col("text_sentiment.compound"))
     return out.withColumn("processed_at", ntz(run_ts))
 
 
 def score_tweets(tweets: DataFrame, lexicon: Lexicon, run_ts=None) -> DataFrame:
     return (
-        tweets.withColumn("text_sentiment", score(F.col("text"), lexicon))
+        tweets.withColumn("text_sentiment", score("text", lexicon))
         .withColumns(_flat("text_sentiment", "sentiment"))
         .withColumn("processed_at", ntz(run_ts))
     )
@@ -36,7 +36,7 @@ def score_tweets(tweets: DataFrame, lexicon: Lexicon, run_ts=None) -> DataFrame:
 
 def score_headlines(headlines: DataFrame, lexicon: Lexicon, run_ts=None) -> DataFrame:
     return (
-        headlines.withColumn("title_sentiment", score(F.col("title"), lexicon))
+        headlines.withColumn("title_sentiment", score("title", lexicon))
         .withColumns(_flat("title_sentiment", "sentiment"))
         .withColumn("processed_at", ntz(run_ts))
     )
