@@ -43,7 +43,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
+    """The texts, over all cores: a small file has fewer row groups than there are cores.
+
+    Inputs with at least one split per core are read as they are.
+    """
+    texts = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return texts if texts.rdd.getNumPartitions() >= cores else texts.repartition(cores)
 
 
 def raw_posts(spark, sf_dir):

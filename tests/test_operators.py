@@ -47,8 +47,9 @@ def test_lookup_join_keeps_every_row(spark):
         "id",
     )
     right = spark.createDataFrame([("hot", 1), ("k2", 2), ("zz", 3)], "key string, v int")
-    assert hot_keys(left.filter("key is not null"), "key").count() == 1
-    out = lookup_join(left, right, "key", ["id"])
+    assert [r._parts for r in hot_keys(left.filter("key is not null"), "key", 500).collect()] == [6]
+    assert hot_keys(left, "key").count() == 0
+    out = lookup_join(left, right, "key", ["id"], part_rows=500)
     assert out.count() == 9_000
     assert out.filter("v = 1").count() == 3_000
     assert tuples(out.filter("v = 2").select("id")) == [(2,)]

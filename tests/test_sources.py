@@ -100,6 +100,13 @@ def test_search(tweets):
     assert rows(with_shared, "id") == [(0,), (1,), (3,), (4,)]
 
 
+def test_terms_are_the_broadcast_side(tweets, monkeypatch):
+    plan = tw.search(tweets, "climate")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr("tonescape.session.OPTION_ROWS", 0)
+    assert rows(tw.search(tweets, "economy"), "id") == [(4,)]
+
+
 def test_search_limits(tweets):
     many = tweets.filter("id = 0").select(
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(130).cast("bigint"))).alias("id"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tonescape import schemas
 from tonescape.functions.scalar import argmax, ntz, topic_name
 from tonescape.functions.text import terms
-from tonescape.session import stage
+from tonescape.session import option_table, stage
 
 #: The corpus must be larger than this.
 TOO_FEW_TEXTS = 10
@@ -59,7 +59,7 @@ def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def drop_stop_words(counts: DataFrame, stop_words: Sequence[str]) -> DataFrame:
-    words = counts.sparkSession.createDataFrame([(w,) for w in stop_words], "term string")
+    words = option_table(counts.sparkSession, [(w,) for w in stop_words], "term string")
     return counts.join(words, "term", "left_anti")
 
 

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Option lists up to this long are sent to every task; longer ones are joined by shuffle.
+OPTION_ROWS = 10_000
 
 _own_dirs: dict[str, str] = {}
 
@@ -48,3 +53,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def option_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A table of options given by the caller, broadcast when its known length allows.
+
+    Spark has no statistics for such a table and might otherwise broadcast the data side.
+    """
+    table = spark.createDataFrame(list(rows), ddl)
+    return F.broadcast(table) if len(rows) <= OPTION_ROWS else table

@@ -12,6 +12,7 @@ from tonescape import schemas
 from tonescape.functions.scalar import ntz
 from tonescape.functions.text import decode_entities, drop_tags, non_empty, strip_space
 from tonescape.operators.ranking import first_per_group
+from tonescape.session import option_table
 
 
 @dataclass(frozen=True)
@@ -91,7 +92,7 @@ def extract_headlines(pages: DataFrame, profile: Profile, extracted_at=None) ->
 
 def _category_table(spark: SparkSession, categories: Mapping[str, Sequence[str]]) -> DataFrame:
     rows = [(s, c) for s, listed in categories.items() for c in listed]
-    return spark.createDataFrame(rows, "source string, category string").distinct()
+    return option_table(spark, rows, "source string, category string")
 
 
 def keep_categories(headlines: DataFrame, categories: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -11,6 +11,7 @@ from tonescape import schemas
 from tonescape.functions.text import words
 from tonescape.operators.lookup import lookup_join, unique_last
 from tonescape.operators.ranking import first_per_group
+from tonescape.session import option_table
 
 # The smallest and largest page the search serves.
 LIMIT_MIN = 10
@@ -46,11 +47,11 @@ def match_terms(tweets: DataFrame, terms: Sequence[str]) -> DataFrame:
     An equi-join on the first word of the term, then a check of the others in the same
     row: no comparison of every message with every term, and no second shuffle.
     """
-    spark = tweets.sparkSession
-    wanted = spark.createDataFrame(
-        [(term, term.lower().split()) for term in dict.fromkeys(terms) if term.split()],
-        "keyword string, _words array<string>",
-    ).withColumn("_first", F.get("_words", F.lit(0)))
+    wanted = option_table(
+        tweets.sparkSession,
+        [(t, t.lower().split(), t.lower().split()[0]) for t in dict.fromkeys(terms) if t.split()],
+        "keyword string, _words array<string>, _first string",
+    )
     return (
         tweets.drop("keyword")
         .withColumn("_has", F.array_distinct(words(F.col("text"))))
