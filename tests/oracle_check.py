@@ -73,9 +73,10 @@ def main(names: list[str]) -> int:
     from tonescape.session import build_session
 
     sf_dir = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
+    own = {"spark__sql__shuffle__partitions": 8, "spark__driver__memory": "8g"}
     spark = build_session(
-        "check", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions=8,
-        spark__driver__memory="8g", spark__ui__showConsoleProgress="false",
+        "check", "local[8]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+        **own,
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

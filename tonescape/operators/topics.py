@@ -18,10 +18,6 @@ from tonescape.functions.scalar import argmax, ntz, topic_name
 from tonescape.functions.text import terms
 from tonescape.session import option_table, stage
 
-#: The corpus must be larger than this.
-TOO_FEW_TEXTS = 10
-
-
 @dataclass(frozen=True)
 class TopicOptions:
     n_topics: int = 5
@@ -33,6 +29,7 @@ class TopicOptions:
     passes: int = 10
     max_iterations: int = 50
     stop_words: Sequence[str] | None = None
+    min_texts: int = 11
 
     def sampling(self, n_texts: int) -> tuple[float, int]:
         """Share of the texts per iteration, and the number of iterations.
@@ -166,7 +163,7 @@ def fit_topics(
     vocab = sorted(r.term for r in rows)
     vectors = stage(_vectors(docs.select(text), vocab or [""], text).select("_counts"), "counts")
     n_texts = vectors.count()
-    if n_texts <= TOO_FEW_TEXTS or not vocab:
+    if n_texts < options.min_texts or not vocab:
         return None
     share, iterations = options.sampling(n_texts)
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)

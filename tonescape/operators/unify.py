@@ -50,18 +50,27 @@ def unify_tweets(scored: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return _project(scored, "twitter", source_id, "text", "created_at", "sentiment", keep)
 
 
+NEWS_ORDER = ("extracted_at", "source", "category", "title", "url")
+
+
+def number_news(headlines: DataFrame, order: Sequence[str] = NEWS_ORDER) -> DataFrame:
+    """Adds ``news_number``. Best done before scoring: ranges are found by a pass of their own."""
+    return number_rows(headlines, [F.col(c) for c in order], "news_number")
+
+
 def unify_news(
     scored: DataFrame,
     keep: Sequence[str] = (),
     news_id: str = "number",
-    order: Sequence[str] = ("extracted_at", "source", "category", "title", "url"),
+    order: Sequence[str] = NEWS_ORDER,
 ) -> DataFrame:
     """Ids are ``news_<n>`` in ``order``, or with ``news_id='url'`` a hash of the link."""
     if news_id == "url":
         source_id = F.sha2(F.coalesce(non_empty(F.col("url")), F.col("title")), 256)
     elif news_id == "number":
-        scored = number_rows(scored, [F.col(c) for c in order], "_n")
-        source_id = F.concat(F.lit("news_"), F.col("_n").cast("string"))
+        if "news_number" not in scored.columns:
+            scored = number_news(scored, order)
+        source_id = F.concat(F.lit("news_"), F.col("news_number").cast("string"))
     else:
         raise ValueError("news_id is 'number' or 'url'")
     return _project(scored, "news", source_id, "title", "extracted_at", "sentiment", keep)
@@ -80,7 +89,7 @@ def unify_all(
     run_ts=None,
     keep: Sequence[str] = (),
     news_id: str = "number",
-    news_order: Sequence[str] = ("extracted_at", "source", "category", "title", "url"),
+    news_order: Sequence[str] = NEWS_ORDER,
 ) -> DataFrame:
     """Score every feed that is there and unite them; a missing feed adds nothing."""
     parts = []
@@ -89,8 +98,10 @@ def unify_all(
     if tweets is not None:
         parts.append(unify_tweets(score_tweets(tweets, lexicon, run_ts), keep))
     if headlines is not None:
+        if news_id == "number":
+            headlines = number_news(headlines, news_order)
         scored = score_headlines(headlines, lexicon, run_ts)
-        parts.append(unify_news(scored, keep, news_id, news_order))
+        parts.append(unify_news(scored, keep, news_id))
     if not parts:
         raise ValueError("at least one feed is needed")
     return union_all(parts)
