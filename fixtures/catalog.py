@@ -575,9 +575,13 @@ def topics_by_source(spark, sf_dir):
     return report.topics_by_source(v.results(spark, sf_dir))
 
 
-@query("select min(processed_at)::date min_date, max(processed_at)::date max_date from v_results")
+@query(
+    """select min(processed_at)::date::varchar min_date, max(processed_at)::date::varchar max_date
+       from v_results"""
+)
 def date_bounds(spark, sf_dir):
-    return report.date_bounds(v.results(spark, sf_dir))
+    bounds = report.date_bounds(v.results(spark, sf_dir))
+    return bounds.select(*[F.col(c).cast("string").alias(c) for c in bounds.columns])
 
 
 @query(
@@ -646,13 +650,11 @@ def distinct_keywords(spark, sf_dir):
 
 
 @query(
-    """with t as (select distinct source, source_id from v_results)
-       select 'before' stage, 2 * count(*) records,
+    """select 'before' stage, 2 * count(*) records,
               2 * count(*) filter (where source = 'news') news_records from v_results
        union all
-       select 'after', count(*), count(*) filter (where source = 'news') from t"""
-    .replace("with t as (select distinct source, source_id from v_results)", "")
-    .replace("from t", "from (select distinct source, source_id from v_results)")
+       select 'after', count(*), count(*) filter (where source = 'news')
+       from (select distinct source, source_id from v_results)"""
 )
 def dedup_report(spark, sf_dir):
     once = v.results(spark, sf_dir)
@@ -672,14 +674,16 @@ def head_sample(spark, sf_dir):
 # --- Topics ------------------------------------------------------------------------
 
 
-@query(f"select w term, count(*) n from (select unnest(regexp_extract_all(lower(text), '{TERM}')) w from documents) group by w")
+_ALL_TERMS = f"(select unnest(regexp_extract_all(lower(text), '{TERM}')) w from documents)"
+
+
+@query(f"select w term, count(*) n from {_ALL_TERMS} group by w")
 def tokenize_counts(spark, sf_dir):
     return topics.token_counts(v.documents(spark, sf_dir))
 
 
 @query(
-    f"""select w term, count(*) n
-        from (select unnest(regexp_extract_all(lower(text), '{TERM}')) w from documents)
+    f"""select w term, count(*) n from {_ALL_TERMS}
         where w not in (select term from v_vocab where rnk <= 20) group by w"""
 )
 def stopword_filter(spark, sf_dir):
@@ -689,8 +693,7 @@ def stopword_filter(spark, sf_dir):
 
 
 _TOP = f"""select w term, count(*) n, cast(row_number() over (order by count(*) desc, w) as integer)
-    "rank" from (select unnest(regexp_extract_all(lower(text), '{TERM}')) w from documents)
-    group by w order by 2 desc, 1 limit 1000"""
+    "rank" from {_ALL_TERMS} group by w order by 2 desc, 1 limit 1000"""
 
 
 @query(_TOP)
@@ -859,8 +862,8 @@ def normalized_topic_sentiment(spark, sf_dir):
     f"""select id, regexp_replace("text", {lit(f"^{SPACE}+|{SPACE}+$")}, '', 'g') stripped,
           coalesce(nullif(url, ''), title) url_or_title, substr("text", 1, 50) head50,
           substr("text", 1, 100) head100, printf('%.2f', score / 100.0::double) formatted,
-          least(score, 100) clamped, created_utc::date created_date,
-          created_utc::date - 7 week_before, concat('Topic ', score) label,
+          least(score, 100) clamped, created_utc::date::varchar created_date,
+          (created_utc::date - 7)::varchar week_before, concat('Topic ', score) label,
           cast(epoch(created_utc) as bigint) epoch_seconds
         from (select id, text as "text", title, url, score, created_utc from v_posts)"""
 )
@@ -874,8 +877,8 @@ def scalar_text_date(spark, sf_dir):
         F.substring("text", 1, 100).alias("head100"),
         F.format_string("%.2f", F.col("score") / 100.0).alias("formatted"),
         F.least("score", F.lit(100)).alias("clamped"),
-        created.alias("created_date"),
-        F.date_sub(created, 7).alias("week_before"),
+        created.cast("string").alias("created_date"),
+        F.date_sub(created, 7).cast("string").alias("week_before"),
         scalar.topic_label(F.col("score")).alias("label"),
         scalar.to_epoch(F.col("created_utc")).alias("epoch_seconds"),
     )
