@@ -1,10 +1,13 @@
 """The whole job: twice, with missing feeds, and with too few texts."""
 
 import datetime as dt
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import views
+from tonescape import session
 from tonescape.functions.sentiment import Lexicon
 from tonescape.operators.topics import TopicOptions
 from tonescape.plans import dashboard, pipeline
@@ -76,14 +79,16 @@ def test_empty_append_is_harmless(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path), tables.RAW_TWEETS).count() == tweets.count()
 
 
-def test_shared_dir_setting_is_used(spark):
-    from tonescape import session
+class FakeSession:
+    """Just enough of a session to ask for its shared folder."""
 
-    class Conf:
-        def get(self, key, default=None):
-            return "/cluster/shared/" if key == "spark.checkpoint.dir" else default
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = SimpleNamespace(master=master, applicationId="fake")
 
-    class Fake:
-        conf = Conf()
 
-    assert session.shared_dir(Fake()) == "/cluster/shared"
+def test_shared_dir_setting_is_used():
+    assert session.shared_dir(FakeSession("spark://x", "/cluster/shared/")) == "/cluster/shared"
+    assert session.shared_dir(FakeSession("local[2]", "/own")) == "/own"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeSession("spark://x"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tonescape.functions.sentiment import Lexicon, Rules, score, tokens
+from tonescape.sources.lexicon import read_lexicon
 
 WORDS = {
     "great": 3.1, "good": 1.9, "happy": 2.7, "love": 3.2, "bad": -2.5, "terrible": -2.1,
@@ -120,6 +121,20 @@ def test_own_rules(spark):
     assert got == [compound(2.0), compound(-0.74), compound(1.0)]
 
 
+def test_lexicon_file(spark, tmp_path):
+    path = tmp_path / "lexicon.txt"
+    lines = ["good\t1.9\t0.9\t[2, 1]", ":'(\t-2.2\t0.7\t[-2]", '"x\t1.5', "\\o/\t2.2\t1.1\t[1]", "bad"]
+    path.write_text("\n".join(lines) + "\n")
+    table = read_lexicon(spark, str(path))
+    assert {r.token: r.valence for r in table.collect()} == {
+        "good": 1.9, ":'(": -2.2, '"x': 1.5, "\\o/": 2.2,
+    }
+    frame = spark.createDataFrame([("xx :'(",), ("xx \\o/",)], "text string")
+    lexicon = Lexicon.from_table(table)
+    got = [r.c for r in frame.select(score("text", lexicon).compound.alias("c")).collect()]
+    assert got == [compound(-2.2), compound(2.2)]
+
+
 def test_lexicon_size_is_checked(spark, monkeypatch):
     monkeypatch.setattr("tonescape.functions.sentiment.MAX_ENTRIES", 3)
     table = spark.range(5).select(

@@ -33,10 +33,12 @@ def build_session(app: str = "tonescape", master: str | None = None, **conf) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a folder of our own only where none is set."""
+    """The cluster's checkpoint folder; in local mode a folder of our own if none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="tonescape-")
