@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures import views as v
-from fixtures.oracle import lit, mean, statement
+from fixtures.oracle import decoded, lit, mean, statement
 from tonescape.functions import scalar
 from tonescape.functions.sentiment import score
 from tonescape.functions.text import SPACE, TERM, WORD, strip_space
@@ -189,8 +189,7 @@ def headlines_profile_a(spark, sf_dir):
 
 @query(
     rf"""select page_id, cast(p - 1 as integer) "position",
-         regexp_replace(replace(regexp_replace(m, '<[^>]*>', '', 'g'), '&amp;', '&'),
-                        {lit(f"^{SPACE}+|{SPACE}+$")}, '', 'g') title,
+         regexp_replace({decoded('m')}, {lit(f"^{SPACE}+|{SPACE}+$")}, '', 'g') title,
          nullif(replace(regexp_extract(m, 'href="([^"]*)"', 1), '&amp;', '&'), '') url
      from (select page_id, unnest(l) m, generate_subscripts(l, 1) p
            from (select page_id, regexp_extract_all(html, '(?s)<a\b[^>]*>.*?</a>') l from pages))"""

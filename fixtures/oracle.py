@@ -12,7 +12,7 @@ from tonescape.functions.sentiment import (
     IDIOMS,
     NEGATIONS,
 )
-from tonescape.functions.text import SPACE, TERM
+from tonescape.functions.text import ENTITIES, SPACE, TERM
 
 
 def lit(text: str) -> str:
@@ -23,6 +23,14 @@ def values(rows) -> str:
     return ", ".join("(" + ", ".join(str(c) for c in row) + ")" for row in rows)
 
 
+def decoded(html: str) -> str:
+    """Text of an HTML piece: tags dropped, named entities replaced."""
+    text = f"regexp_replace({html}, '<[^>]*>', '', 'g')"
+    for name, char in ENTITIES.items():
+        text = f"replace({text}, {lit(name)}, {lit(char)})"
+    return text
+
+
 def _cued() -> str:
     text = "text"
     for old, new in CUES:
@@ -53,8 +61,8 @@ VIEWS: dict[str, str] = {
                cast(null as varchar) location, cast(null as varchar) keyword,
                'twitter' source, conv_id * 100 + turn seq
         from conversations where role = 'user'""",
-    "v_headlines": r"""
-        select trim(replace(regexp_replace(m, '<[^>]*>', '', 'g'), '&amp;', '&')) title,
+    "v_headlines": rf"""
+        select trim({decoded('m')}) title,
                url, case when page_id % 2 = 0 then 'bbc' else 'cnn' end source,
                regexp_extract(url, 'https?://[^/]+/([a-z]+)/', 1) category,
                timestamp '2024-01-02 00:00:00' + to_minutes(page_id) extracted_at,
