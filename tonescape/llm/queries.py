@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonescape.llm import quality_rules, secret_scan
+from tonescape.llm import main_text, pattern_packing, quality_rules, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_pattern_packing(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return pattern_packing.pack(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op7_main_text(spark, sf_dir):
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
