@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonescape.llm import main_text, pattern_packing, quality_rules, secret_scan
+from tonescape.llm import main_text, pattern_packing, quality_rules, secret_scan, super_kmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_super_kmers(spark, sf_dir):
+    return super_kmers.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_pattern_packing(spark, sf_dir):
     import public_tokenizers
