@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonescape.llm import main_text, pattern_packing, quality_rules, secret_scan, super_kmers
+from tonescape.llm import (
+    main_text,
+    pattern_packing,
+    quality_rules,
+    secret_scan,
+    suffix_ranks,
+    super_kmers,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +34,11 @@ def op1_super_kmers(spark, sf_dir):
     return super_kmers.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_suffix_ranks(spark, sf_dir):
+    return suffix_ranks.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_pattern_packing(spark, sf_dir):
     import public_tokenizers
