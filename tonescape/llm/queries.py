@@ -14,6 +14,7 @@ from tonescape.llm import (
     secret_scan,
     suffix_ranks,
     super_kmers,
+    toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +48,12 @@ def op4_pattern_packing(spark, sf_dir):
     return pattern_packing.pack(table(spark, sf_dir, "documents"), path)
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op7_main_text(spark, sf_dir):
     return main_text.extract(table(spark, sf_dir, "pages"))
