@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonescape.llm import (
+    chosen_path,
     main_text,
     pattern_packing,
     quality_rules,
@@ -72,3 +73,8 @@ def op9_secret_scan(spark, sf_dir):
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example"
     )
+
+
+@query
+def op10_chosen_path(spark, sf_dir):
+    return chosen_path.join(table(spark, sf_dir, "documents"))
