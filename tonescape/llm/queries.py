@@ -11,6 +11,7 @@ from tonescape.llm import (
     chosen_path,
     main_text,
     pattern_packing,
+    qgram_match,
     quality_rules,
     secret_scan,
     suffix_ranks,
@@ -41,6 +42,12 @@ def op2_suffix_ranks(spark, sf_dir):
     return suffix_ranks.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_qgram_match(spark, sf_dir):
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return qgram_match.contaminated(docs, benchmark)
+
+
 @query
 def op4_pattern_packing(spark, sf_dir):
     import public_tokenizers
