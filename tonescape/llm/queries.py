@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tonescape.llm import (
     chosen_path,
+    licence_scan,
     main_text,
     pattern_packing,
     qgram_match,
@@ -56,6 +57,11 @@ def op4_pattern_packing(spark, sf_dir):
     return pattern_packing.pack(table(spark, sf_dir, "documents"), path)
 
 
+@query
+def op5_licence_scan(spark, sf_dir):
+    return licence_scan.scan(table(spark, sf_dir, "documents"), licence_scan.train())
+
+
 @query
 def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
