@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonescape.llm import wordcode as wc
@@ -141,13 +141,13 @@ def _describe(batches: Iterator[pa.RecordBatch], o: JoinOptions) -> Iterator[pa.
             own = batch.slice(chunk.first, chunk.rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    own.column("doc_id"),
+                    own.column("doc"),
                     own.column("text_hash"),
                     *map(pa.array, keys),
                     pa.array(sets.sizes),
                     _lists(node.view(np.int64), row, chunk.rows),
                 ],
-                names=["doc_id", "text_hash", "key1", "key2", "n_tokens", "nodes"],
+                names=["doc", "text_hash", "key1", "key2", "n_tokens", "nodes"],
             )
 
 
@@ -332,59 +332,93 @@ def _verified(texts: DataFrame, groups: DataFrame, o: JoinOptions) -> DataFrame:
     return arranged.mapInArrow(lambda it: _compare(it, o), "set_id long, links long, root long")
 
 
-def join(docs: DataFrame, o: JoinOptions = JoinOptions()) -> DataFrame:
-    """doc_id, class_id, n_links, n_copies for every row of ``docs``.
+def classes(docs: DataFrame, o: JoinOptions = JoinOptions()) -> DataFrame:
+    """doc, text_hash, class_doc, class_hash, n_links, n_copies for every row of ``docs``.
 
-    n_links: rows of other position whose set has Jaccard ``least`` or more with this row's,
-    exact copies included; n_copies: rows with the same set, this one included. class_id: the
-    smallest doc_id reachable over links. A text with fewer words than a shingle is one
-    token; one without words (null, empty) has no links and is its own class. doc_id is an
-    integer; a null counts as the smallest. Rows that repeat are copies of each other. An
-    empty table gives no rows. Other columns are not read.
-
-    Texts cross the network to meet the sets that met others, and then once per block of
-    their group; the rest is ids and path hashes. Comparing a class takes the square of its
-    different texts, spread over pairs of blocks; no pair is ever a row.
+    doc is the doc_id as a long (the smallest long for null); the class is named by the row
+    with its smallest doc, then text_hash.
     """
-    rows = docs.select(
-        "doc_id",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"),
-        F.xxhash64("text").alias("text_hash"),
-        "text",
-    )
-    kept = rows.select(F.col("doc").alias("doc_id"), "text_hash", "text")
+    rows = docs.select(doc_key().alias("doc"), F.xxhash64("text").alias("text_hash"), "text")
     described = Stored(
-        kept.mapInArrow(
+        rows.mapInArrow(
             lambda it: _describe(it, o),
-            "doc_id long, text_hash long, key1 long, key2 long, n_tokens long, nodes array<long>",
-        ).withColumnRenamed("doc_id", "doc"),
+            "doc long, text_hash long, key1 long, key2 long, n_tokens long, nodes array<long>",
+        ),
         "described",
     )
     sets, texts, groups = _members(rows, described.frame, o)
     verified = Stored(_verified(texts.frame, groups.frame, o), "verified")
     texts.drop()
     groups.drop()
-    classes = components(
+    rooted = components(
         verified.frame.where("set_id > root").select(F.col("set_id").alias("a"), F.col("root").alias("b")), "classes"
     )
     links = verified.frame.groupBy("set_id").agg(F.sum("links").alias("links"))
-    ids = sets.frame.select("set_id", "key1", "key2", "doc", "copies")
-    firsts = ids.select(F.col("set_id").alias("b"), F.col("doc").alias("class_doc"))
-    rooted = classes.frame.join(firsts, "b").select(F.col("a").alias("set_id"), "class_doc")
+    ids = sets.frame.select("set_id", "key1", "key2", "doc", "text_hash", "copies")
+    firsts = ids.select(F.col("set_id").alias("b"), F.col("doc").alias("class_doc"), F.col("text_hash").alias("class_hash"))
+    rooted = rooted.frame.join(firsts, "b").select(F.col("a").alias("set_id"), "class_doc", "class_hash")
     judged = ids.join(links, "set_id", "left").join(rooted, "set_id", "left").select(
         "key1",
         "key2",
         F.coalesce("class_doc", "doc").alias("class_doc"),
+        F.coalesce("class_hash", "text_hash").alias("class_hash"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.col("copies").alias("n_copies"),
     )
-    full = described.frame.where("n_tokens > 0").select("doc", "key1", "key2").join(judged, ["key1", "key2"])
+    columns = ["doc", "text_hash", "class_doc", "class_hash", "n_links", "n_copies"]
+    full = described.frame.where("n_tokens > 0").select("doc", "text_hash", "key1", "key2").join(judged, ["key1", "key2"])
     empty = described.frame.where("n_tokens = 0").select(
-        "doc", F.col("doc").alias("class_doc"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies")
+        "doc",
+        "text_hash",
+        F.col("doc").alias("class_doc"),
+        F.col("text_hash").alias("class_hash"),
+        F.lit(0).cast("long").alias("n_links"),
+        F.lit(1).cast("long").alias("n_copies"),
+    )
+    return full.select(columns).unionByName(empty)
+
+
+def doc_key() -> Column:
+    """doc_id as a long; a null is the smallest."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_DOC))
+
+
+_NULL_DOC = -(1 << 63)
+
+
+def join(docs: DataFrame, o: JoinOptions = JoinOptions()) -> DataFrame:
+    """doc_id, class_id, n_links, n_copies for every row of ``docs``.
+
+    n_links: other rows whose set has Jaccard ``least`` or more with this row's, exact copies
+    included; n_copies: rows with the same set, this one included. class_id: the smallest
+    doc_id reachable over links. A text with fewer words than a shingle is one token; one
+    without words (null, empty) has no links and is its own class. doc_id is an integer; a
+    null counts as the smallest. Rows that repeat are copies of each other. An empty table
+    gives no rows. Other columns are not read.
+
+    Texts cross the network to meet the sets that met others, and then once per block of
+    their group; the rest is ids and path hashes. Comparing a class takes the square of its
+    different texts, spread over pairs of blocks; no pair is ever a row.
+    """
+
+    def as_id(column: str) -> Column:
+        return F.when(F.col(column) != F.lit(_NULL_DOC), F.col(column))
+
+    return classes(docs, o).select(
+        as_id("doc").alias("doc_id"), as_id("class_doc").alias("class_id"), "n_links", "n_copies"
     )
-    both = full.select("doc", "class_doc", "n_links", "n_copies").unionByName(empty)
 
-    def as_id(column: str):
-        return F.when(F.col(column) != F.lit(-(1 << 63)), F.col(column))
 
-    return both.select(as_id("doc").alias("doc_id"), as_id("class_doc").alias("class_id"), "n_links", "n_copies")
+def one_of_each(docs: DataFrame, o: JoinOptions = JoinOptions()) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that are linked to a smaller doc_id.
+
+    One row of each class stays; texts without words all stay.
+    """
+    firsts = classes(docs, o).where("doc = class_doc and text_hash = class_hash")
+    firsts = firsts.groupBy("doc", "text_hash").agg(F.max("n_copies").alias("n_copies"))
+    key, text_hash, spare = "__doc", "__text_hash", "__place"
+    keyed = docs.withColumns({key: doc_key(), text_hash: F.xxhash64("text")})
+    kept = keyed.join(firsts.toDF(key, text_hash, "__copies"), [key, text_hash])
+    # of rows that repeat, one stays; they are in one partition already
+    place = F.row_number().over(Window.partitionBy(key, text_hash).orderBy(key))
+    return kept.withColumn(spare, place).where(f"{spare} = 1").select(*docs.columns)

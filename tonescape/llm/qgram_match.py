@@ -257,3 +257,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, o: MatchOptions = MatchO
         F.array_sort(F.array_distinct(F.transform("found", lambda x: x["item_id"]))).alias("items"),
         F.array_join(F.transform(merged, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
     )
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, o: MatchOptions = MatchOptions()) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no benchmark segment is found. Narrow."""
+    return match(docs, benchmark, o).where(F.size("found") == 0).select(*docs.columns)

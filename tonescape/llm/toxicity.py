@@ -403,13 +403,17 @@ def train(docs: DataFrame, labels: DataFrame, o: ToxicOptions = ToxicOptions())
     return fit(Texts(WordFeatures(*[np.empty(0, np.int32)] * 3), np.empty((0, o.window), np.int32), np.empty(0, np.int64), 0), target, o)
 
 
+def _scores(net: Network, chunk: wc.Chunk) -> np.ndarray:
+    worst = worst_logits(net, read_texts(chunk, net.options))
+    return 1 / (1 + np.exp(-np.clip(net.scale * worst + net.shift, -40, 40)))
+
+
 def _score(batches: Iterator[pa.RecordBatch], net: Network) -> Iterator[pa.RecordBatch]:
     o = net.options
     for batch in batches:
         parts = []
         for chunk in wc.chunks(batch.column("text")):
-            worst = worst_logits(net, read_texts(chunk, o))
-            parts.append(1 / (1 + np.exp(-np.clip(net.scale * worst + net.shift, -40, 40))))
+            parts.append(_scores(net, chunk))
         score = np.concatenate(parts) if parts else np.empty(0)
         names = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays(
@@ -418,6 +422,19 @@ def _score(batches: Iterator[pa.RecordBatch], net: Network) -> Iterator[pa.Recor
         )
 
 
+def _clean(batches: Iterator[pa.RecordBatch], net: Network) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        predicted = np.zeros(batch.num_rows, bool)
+        for chunk in wc.chunks(batch.column("text")):
+            predicted[chunk.first : chunk.first + chunk.rows] = _scores(net, chunk) >= net.options.threshold
+        yield batch.filter(pa.array(~predicted))
+
+
+def without_toxic(docs: DataFrame, net: Network) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is under the threshold. Narrow."""
+    return docs.mapInArrow(lambda it: _clean(it, net), docs.schema)
+
+
 def score(docs: DataFrame, net: Network) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``.
 
