@@ -44,7 +44,7 @@ class ToxicOptions:
     stride: int = 48
     width: int = 8
     embed: int = 8
-    table: int = 1 << 15
+    table: int = 1 << 17
     epochs: int = 4
     batch: int = 256
     rate: float = 0.08
@@ -73,8 +73,8 @@ def new_network(o: ToxicOptions) -> Network:
     return Network(
         o,
         {
-            "chars": draw(o.table, e, scale=0.05),
-            "words": draw(o.table, e, scale=0.05),
+            "chars": draw(o.table, e, scale=0.02),
+            "words": draw(o.table, e, scale=0.02),
             "input": draw(2, 2 * e, 3 * h, scale=0.4),
             "bias": np.zeros((2, 1, 3 * h), _F),
             "gates": draw(2, h, 2 * h, scale=0.2),
@@ -245,6 +245,25 @@ def read_texts(chunk: wc.Chunk, o: ToxicOptions) -> Texts:
     return Texts(features, index.astype(np.int32), row, chunk.rows)
 
 
+def join_texts(parts: list[Texts], o: ToxicOptions) -> Texts:
+    """Several chunks' texts as one; words are distinct within a chunk only."""
+    words = sum(len(p.features.word) for p in parts)
+    index, row, bounds = [np.empty((0, o.window), np.int32)], [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
+    before = rows = grams = 0
+    for p in parts:
+        none = len(p.features.word)
+        index.append(np.where(p.index == none, words, p.index + before).astype(np.int32))
+        row.append(p.row + rows)
+        bounds.append(p.features.bounds[1:] + grams)
+        before, rows, grams = before + none, rows + p.rows, grams + int(p.features.bounds[-1])
+    features = WordFeatures(
+        np.concatenate([np.empty(0, np.int32), *(p.features.word for p in parts)]),
+        np.concatenate([np.empty(0, np.int32), *(p.features.grams for p in parts)]),
+        np.concatenate(bounds),
+    )
+    return Texts(features, np.concatenate(index), np.concatenate(row), rows)
+
+
 def window_logits(net: Network, texts: Texts, block: int = 1024) -> np.ndarray:
     projected = project(net, vectors(net, texts.features))
     parts = [forward(net, projected, texts.index[i : i + block]) for i in range(0, len(texts.index), block)]
@@ -261,28 +280,31 @@ def worst_logits(net: Network, texts: Texts) -> np.ndarray:
 # --- Training -----------------------------------------------------------------------------
 
 
-def _log_odds(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
-    """Per column, the shrunk log ratio of its shares of toxic and of clean texts."""
-    pairs = np.unique(rows.astype(np.int64) * size + columns)
-    toxic = labels[pairs // size] == 1
-    a = np.bincount(pairs[toxic] % size, minlength=size)
-    b = np.bincount(pairs[~toxic] % size, minlength=size)
-    ratio = np.log((a + 0.5) / (labels.sum() + 1)) - np.log((b + 0.5) / ((1 - labels).sum() + 1))
-    return ratio * (a + b) / (a + b + 5.0)
+def _log_odds(counts: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Per column, the shrunk log ratio of its shares of toxic and of clean texts.
+
+    ``counts``: (2, columns) clean and toxic texts that have the column.
+    """
+    clean, toxic = counts
+    ratio = np.log((toxic + 0.5) / (labels.sum() + 1)) - np.log((clean + 0.5) / ((1 - labels).sum() + 1))
+    return ratio * (clean + toxic) / (clean + toxic + 5.0)
 
 
 def _start_vectors(net: Network, texts: Texts, labels: np.ndarray) -> None:
     """Begin with each feature's log odds as the first entry of its vector."""
     f, size = texts.features, net.options.table
     none = len(f.word)
-    rows = np.repeat(texts.row, texts.index.shape[1])
-    word = texts.index.ravel()
-    pairs = np.unique((rows.astype(np.int64) * (none + 1) + word)[word != none])
-    rows, word = pairs // (none + 1), pairs % (none + 1)
-    net.weights["words"][:, 0] = _log_odds(rows, f.word[word], labels, size)
-    count = np.diff(f.bounds)[word]
-    at = np.arange(count.sum()) + np.repeat(f.bounds[word] - (np.cumsum(count) - count), count)
-    net.weights["chars"][:, 0] = _log_odds(np.repeat(rows, count), f.grams[at], labels, size)
+    counts = np.zeros((2, 2, size))
+    ends = np.searchsorted(texts.row, np.arange(texts.rows + 1))
+    for row in range(texts.rows):  # a text at a time, so memory does not follow the sample
+        word = np.unique(texts.index[ends[row] : ends[row + 1]])
+        word = word[word != none]
+        count = f.bounds[word + 1] - f.bounds[word]
+        at = np.arange(count.sum()) + np.repeat(f.bounds[word] - (np.cumsum(count) - count), count)
+        counts[0, labels[row], np.unique(f.word[word])] += 1
+        counts[1, labels[row], np.unique(f.grams[at])] += 1
+    net.weights["words"][:, 0] = _log_odds(counts[0], labels)
+    net.weights["chars"][:, 0] = _log_odds(counts[1], labels)
 
 
 def _step(net: Network, name: str, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
@@ -296,18 +318,16 @@ def _step(net: Network, name: str, grad: np.ndarray, rows: np.ndarray | None = N
         net.weights[name][rows] -= net.options.rate * grad / np.sqrt(squares[rows])
 
 
-def _learn(net: Network, texts: Texts, chosen: np.ndarray, target: np.ndarray) -> None:
-    """One step on the chosen windows."""
-    used, inverse = np.unique(texts.index[chosen], return_inverse=True)
-    none = len(texts.features.word)
-    real = used[used != none]
-    f = texts.features
+def _learn(net: Network, f: WordFeatures, index: np.ndarray, target: np.ndarray) -> None:
+    """One step on some windows."""
+    used, inverse = np.unique(index, return_inverse=True)
+    real = used[used != len(f.word)]
     count = np.diff(f.bounds)[real]
     at = np.arange(count.sum()) + np.repeat(f.bounds[real] - (np.cumsum(count) - count), count)
     own = WordFeatures(f.word[real], f.grams[at], np.append(0, np.cumsum(count)))
     vector = vectors(net, own)
-    logits, cache = forward(net, project(net, vector), inverse.reshape(len(chosen), -1), keep=True)
-    d_logits = ((_sigmoid(logits) - target) / len(chosen)).astype(_F)
+    logits, cache = forward(net, project(net, vector), inverse.reshape(len(index), -1), keep=True)
+    d_logits = ((_sigmoid(logits) - target) / len(index)).astype(_F)
     grad, d_projected = backward(net, cache, d_logits, len(vector))
     grad["input"] = vector.T @ d_projected
     grad["bias"] = d_projected.sum(1, keepdims=True)
@@ -343,7 +363,7 @@ def fit(
     # before the first epoch, windows are ranked by their words' mean log odds
     vector = vectors(net, texts.features)
     odds = vector[:, 0] + vector[:, o.embed]
-    logits = odds[texts.index].mean(1)
+    logits = np.concatenate([odds[texts.index[i : i + 4096]].mean(1) for i in range(0, len(texts.index), 4096)])
     toxic = labels[texts.row] == 1
     for epoch in range(o.epochs):
         if epoch:
@@ -352,10 +372,17 @@ def fit(
         worst = order[np.append(True, texts.row[order][1:] != texts.row[order][:-1])]
         clean = np.flatnonzero(~toxic)
         random = rng.choice(clean, min(len(clean), 2 * len(worst)), replace=False)
-        chosen = rng.permutation(np.unique(np.concatenate([worst, random])))
-        for i in range(0, len(chosen), o.batch):
-            part = chosen[i : i + o.batch]
-            _learn(net, texts, part, labels[texts.row[part]].astype(_F))
+        chosen = np.unique(np.concatenate([worst, random]))
+        # a clean text's word over and over is clean too
+        word = texts.index[rng.choice(clean, len(worst))]
+        word = word[np.arange(len(worst)), rng.integers(0, o.window, len(worst))]
+        word = word[word != len(texts.features.word)]
+        index = np.concatenate([texts.index[chosen], np.repeat(word[:, None], o.window, axis=1)])
+        target = np.concatenate([labels[texts.row[chosen]], np.zeros(len(word))]).astype(_F)
+        order = rng.permutation(len(index))
+        for i in range(0, len(order), o.batch):
+            part = order[i : i + o.batch]
+            _learn(net, texts.features, index[part], target[part])
     _calibrate(net, worst_logits(net, texts), labels, np.where(labels == 1, 1.0, clean_weight))
     return net
 
@@ -398,9 +425,7 @@ def train(docs: DataFrame, labels: DataFrame, o: ToxicOptions = ToxicOptions())
     weight = (total.get(0, 0) / max(taken[0], 1)) / (total.get(1, 0) / max(taken[1], 1)) if total.get(1) else 1.0
     table = pa.array([r["text"] for r in rows], pa.string())
     target = np.array([r["toxic"] for r in rows], np.int64)
-    for chunk in wc.chunks(table, 1 << 40):
-        return fit(read_texts(chunk, o), target, o, weight)
-    return fit(Texts(WordFeatures(*[np.empty(0, np.int32)] * 3), np.empty((0, o.window), np.int32), np.empty(0, np.int64), 0), target, o)
+    return fit(join_texts([read_texts(chunk, o) for chunk in wc.chunks(table, 4 << 20)], o), target, o, weight)
 
 
 def _scores(net: Network, chunk: wc.Chunk) -> np.ndarray:
