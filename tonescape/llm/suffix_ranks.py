@@ -42,7 +42,7 @@ class SuffixOptions:
     size: int = 400
     stretch: int = 128
     gram: int = 16
-    chunk_bytes: int = 4 << 20
+    chunk_bytes: int = 2 << 20
     bucket_bytes: int = 8 << 20
     hot_anchors: int = 5_000
 
@@ -104,7 +104,7 @@ def anchors(chunk: wc.Chunk, o: SuffixOptions):
 def _emit(batches: Iterator[pa.RecordBatch], o: SuffixOptions) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         doc, text_hash = (batch.column(c).to_numpy() for c in ("doc", "text_hash"))
-        for chunk in wc.chunks(batch.column("text"), o.chunk_bytes):
+        for chunk in wc.chunks(batch.column("text")):
             row, anchor, lo, owned, spans = anchors(chunk, o)
             if len(row) < 3:
                 continue
