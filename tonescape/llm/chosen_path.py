@@ -39,7 +39,7 @@ class JoinOptions:
     shingle: int = 5
     least: float = 0.8
     depth: int = 3
-    max_depth: int = 8
+    max_depth: int = 4
     bucket: int = 64
     recall: float = 0.99999
     block: int = 512
