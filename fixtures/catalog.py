@@ -819,10 +819,10 @@ def _nodes(spark, sf_dir):
         from (select distinct topic_id from v_terms where score >= 5) t
         left join {_MEANS} m on t.topic_id = m.topic_id
         union all
-        select distinct keyword, 'keyword', 0.0::double from v_terms where score >= 5"""
+        select distinct keyword, 'keyword', null::double from v_terms where score >= 5"""
 )
 def graph_nodes(spark, sf_dir):
-    return _nodes(spark, sf_dir).withColumn("sentiment", F.coalesce("sentiment", F.lit(0.0)))
+    return _nodes(spark, sf_dir)
 
 
 @query(
@@ -836,12 +836,12 @@ def graph_edges(spark, sf_dir):
 @query(
     "select keyword, "
     + ", ".join(
-        f"coalesce(max(score) filter (where topic_id = {i}), 0) topic_{i}" for i in range(5)
+        f"max(score) filter (where topic_id = {i}) topic_{i}" for i in range(5)
     )
     + " from v_terms group by keyword"
 )
 def topic_keyword_matrix(spark, sf_dir):
-    return graph.keyword_matrix(graph.topic_terms(v.topics(spark, sf_dir)), range(5)).na.fill(0)
+    return graph.keyword_matrix(graph.topic_terms(v.topics(spark, sf_dir)), range(5))
 
 
 @query(

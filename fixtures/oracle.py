@@ -12,7 +12,7 @@ from tonescape.functions.sentiment import (
     IDIOMS,
     NEGATIONS,
 )
-from tonescape.functions.text import ENTITIES, SPACE, TERM
+from tonescape.functions.text import SPACE, TERM
 
 
 def lit(text: str) -> str:
@@ -24,9 +24,10 @@ def values(rows) -> str:
 
 
 def decoded(html: str) -> str:
-    """Text of an HTML piece: tags dropped, named entities replaced."""
+    """Text of an HTML piece: tags dropped, the references that occur in the pages replaced."""
     text = f"regexp_replace({html}, '<[^>]*>', '', 'g')"
-    for name, char in ENTITIES.items():
+    # Fixed values, stated apart from the engine's table.
+    for name, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         text = f"replace({text}, {lit(name)}, {lit(char)})"
     return text
 
@@ -60,7 +61,7 @@ VIEWS: dict[str, str] = {
                length(text) % 13 like_count, length(text) % 17 quote_count,
                cast(null as varchar) location, cast(null as varchar) keyword,
                'twitter' source, conv_id * 100 + turn seq
-        from conversations where role = 'user'""",
+        from conversations""",
     "v_headlines": rf"""
         select trim({decoded('m')}) title,
                url, case when page_id % 2 = 0 then 'bbc' else 'cnn' end source,

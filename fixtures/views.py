@@ -25,8 +25,8 @@ from tonescape.sources.headlines import Profile, extract_headlines
 from tonescape.sources.posts import scan_posts
 
 # The given pages mark headlines with <h1>, and links with <a>.
-H1 = Profile(item=r"(?s)<h1\b([^>]*)>(.*?)</h1>", title=2, link=1)
-ANCHOR = Profile(item=r"(?s)<a\b([^>]*)>(.*?)</a>", title=2, link=1)
+H1 = Profile("h1")
+ANCHOR = Profile("a")
 
 _cache: dict[tuple, object] = {}
 
@@ -43,13 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir):
-    """The texts, over all cores: a small file has fewer row groups than there are cores.
-
-    Inputs with at least one split per core are read as they are.
-    """
-    texts = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return texts if texts.rdd.getNumPartitions() >= cores else texts.repartition(cores)
+    return table(spark, sf_dir, "documents")
 
 
 def raw_posts(spark, sf_dir):
@@ -79,7 +73,6 @@ def tweets(spark, sf_dir):
     size = F.length("text").cast("bigint")
     return (
         table(spark, sf_dir, "conversations")
-        .filter("role = 'user'")
         .select(
             number.alias("id"),
             "text",
@@ -207,7 +200,7 @@ def model(spark, sf_dir) -> TopicModel:
         spark,
         "model",
         sf_dir,
-        lambda: fit_topics(documents(spark, sf_dir), TopicOptions(max_iterations=20)),
+        lambda: fit_topics(documents(spark, sf_dir), TopicOptions()),
     )
 
 

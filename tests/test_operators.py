@@ -205,11 +205,10 @@ def test_argmax_takes_the_first(spark):
 def test_fit_guard_and_assignment(spark):
     texts = [f"apple banana cherry {i}" for i in range(6)] + [f"dog cat bird {i}" for i in range(5)]
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    options = topics.TopicOptions(n_topics=2, max_iterations=5)
+    options = topics.TopicOptions(n_topics=2)
     assert topics.fit_topics(docs.limit(10), options) is None
     model = topics.fit_topics(docs, options)
     assert len(model.keywords) == 2 and all(0 < len(k) <= 10 for k in model.keywords)
-    assert model.get_topic_keywords(2) == [] and model.get_topic_name(-1) == "Topic -1"
     probe = docs.unionByName(docs).unionByName(
         spark.createDataFrame([("zzz",), ("",), (None,)], "text string")
     )
@@ -225,3 +224,9 @@ def test_fit_guard_and_assignment(spark):
     assert again.keywords == model.keywords
     plan = model.assign(probe)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("share", [0.05, 0.2, 0.3, 1.0])
+def test_all_passes_run(share):
+    options = topics.TopicOptions(share=share)
+    assert options.iterations * share >= options.passes > (options.iterations - 1) * share - 1e-6

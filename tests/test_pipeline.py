@@ -14,7 +14,7 @@ from tonescape.plans import dashboard, pipeline
 from tonescape.sources import tables
 
 SF = "/root/testdata/sf0.001"
-OPTIONS = TopicOptions(max_iterations=5)
+OPTIONS = TopicOptions()
 
 
 def test_two_runs_append(spark, tmp_path):

@@ -181,10 +181,16 @@ def test_grandparent_link(spark):
 def test_entities(spark):
     from tonescape.functions.text import decode_entities
 
-    texts = ["&amp;lt; &lt;", "&#128512;&#x1F600;", "&#9999999; &unknown; &", "no", "&eacute;&nbsp;x"]
+    texts = [
+        "&amp;lt; &lt;", "&#128512;&#x1F600;", "&#9999999; &unknown; &", "no", "&eacute;&nbsp;x",
+        "a &#38;lt; b", "caf&agrave; &ntilde;", "&#146;&#129;", "&#x0002019;&#0;&#xD800;", "&", None,
+    ]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r.d for r in frame.select(decode_entities(F.col("t")).alias("d")).collect()]
-    assert got == ["&lt; <", "😀😀", "&#9999999; &unknown; &", "no", "é\u00a0x"]
+    assert got == [
+        "&lt; <", "😀😀", "\ufffd &unknown; &", "no", "é\u00a0x",
+        "a &lt; b", "cafà ñ", "’\x81", "’\ufffd\ufffd", "&", None,
+    ]
 
 
 def test_long_page_does_not_overflow(spark):
@@ -206,3 +212,51 @@ def test_all_sources(spark):
         ("cnn", "world", "No link"), ("cnn", "world", "One\nin two"),
     ]
     assert {r.source for r in hl.extract_all(pages, None, 20).collect()} == {"bbc"} | {"cnn"}
+
+
+@pytest.mark.parametrize(
+    ("html", "profile", "expected"),
+    [
+        ('<a href="P"><div><p>x</p></div><h2 data-testid="card-headline">T</h2></a>', "bbc", [("T", "P")]),
+        ("<a href=P><h2 data-testid=card-headline>T</h2></a>", "bbc", [("T", "P")]),
+        ('<a href="Y"><div><svg></svg><span class="container__headline-text">T</span></div></a>', "cnn", [("T", "Y")]),
+        ('<div><a href="X"><img><span class="container__headline-text">T</span></a></div>', "cnn", [("T", None)]),
+        ("<a href=/z><div><span class=container__headline-text>T</span></div></a>", "cnn", [("T", "/z")]),
+        ("<a href='/q'><i>a</i><b><u>c</u></b><h2 data-testid='card-headline'>T", "bbc", [("T", "/q")]),
+        ('<script>"</a><h2 data-testid=card-headline>no</h2>"</script>', "bbc", []),
+    ],
+)
+def test_links_by_structure(spark, html, profile, expected):
+    assert extracted(spark, html, hl.PROFILES[profile]) == expected
+
+
+def test_terms_with_punctuation(spark):
+    texts = ["about COVID-19 now", "the U.S. economy", "#climate!", "covid 20", "climate economy u s"]
+    frame = spark.createDataFrame(
+        [(i, t, dt.datetime(2024, 1, 1)) for i, t in enumerate(texts)], "id bigint, text string, created_at timestamp_ntz"
+    )
+    found = tw.search_terms(frame, ["covid-19", "u.s. economy", "#climate"], 10)
+    assert rows(found, "keyword", "id") == [
+        ("#climate", 2), ("#climate", 4), ("covid-19", 0), ("u.s. economy", 1), ("u.s. economy", 4),
+    ]
+    with pytest.raises(ValueError):
+        tw.search(frame, "!?")
+
+
+def test_authors_of_found_messages_only(spark):
+    raw = spark.createDataFrame(
+        [(1, "RT @a climate", 10, True), (2, "climate", 10, False), (3, "climate", 11, None)],
+        "id bigint, text string, author_id bigint, is_retweet boolean",
+    ).withColumns(
+        {"created_at": F.lit(None).cast("timestamp_ntz")}
+        | {c: F.lit(0).cast("bigint") for c in ("retweet_count", "reply_count", "like_count", "quote_count")}
+    )
+    users = spark.createDataFrame([(10, "n", 1, "x")], "id bigint, username string, followers_count bigint, location string")
+    found = tw.search_with_authors(raw, users, ["climate"])
+    assert rows(found, "id", "keyword", "user_name") == [(2, "climate", "n"), (3, "climate", None)]
+
+
+def test_group_limit_over_sparks_own_bound(posts):
+    plan = ps.list_posts(posts, 5000, "top")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window ") >= 3
+    assert ps.list_posts(posts, 5000, "top").count() == posts.count()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,30 +16,12 @@ SPACE = (
 TERM = r"[\p{L}\p{N}_]{2,}"
 WORD = r"[\p{L}\p{N}_]+"
 
-# Named HTML entities that occur in headlines.
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": "\u00a0",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&trade;": "™",
-    "&hellip;": "…",
-    "&mdash;": "—",
-    "&ndash;": "–",
-    "&lsquo;": "‘",
-    "&rsquo;": "’",
-    "&ldquo;": "“",
-    "&rdquo;": "”",
-    "&bull;": "•",
-    "&middot;": "·",
-    "&euro;": "€",
-    "&pound;": "£",
-    "&eacute;": "é",
-    "&amp;": "&",
-}
+#: Named references of the HTML standard, from Python's own copy of its table.
+NAMED = {name: char for name, char in html5.items() if name.endswith(";")}
+#: Numbers 128 to 159 stand for Windows-1252 characters where it has one.
+LATIN = {i: bytes([i]).decode("cp1252") for i in range(128, 160) if i not in (129, 141, 143, 144, 157)}
+
+_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def strip_space(text: Column) -> Column:
@@ -66,23 +50,33 @@ def drop_tags(html: Column) -> Column:
     return F.regexp_replace(html, r"<[^>]*>", "")
 
 
-def _numeric_entity(ref: Column) -> Column:
-    """The character behind ``&#8217;`` or ``&#x2019;``."""
-    digits = F.regexp_extract(ref, r"&#[xX]?([0-9a-fA-F]+);", 1)
-    base16 = F.when(F.lower(F.substring(ref, 3, 1)) == "x", F.upper(digits)).otherwise(
-        F.conv(digits, 10, 16)
+def _numbered(piece: Column) -> Column:
+    """The character behind ``&#8217;`` or ``&#x2019;``, with any number of digits."""
+    digits = F.regexp_extract(piece, r"&#[xX]?0*([0-9a-fA-F]*);", 1)
+    is_hex = F.lower(F.substring(piece, 3, 1)) == "x"
+    code = F.when(
+        F.length(digits) <= 7,
+        F.when(is_hex, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("int"),
     )
-    # A reference beyond the Unicode range stays as it is written.
-    ok = (F.length(base16) <= 6) & (F.lpad(base16, 6, "0") <= "10FFFF")
-    return F.when(ok, F.decode(F.unhex(F.lpad(base16, 8, "0")), "UTF-32")).otherwise(ref)
+    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
+    latin = F.create_map(*[F.lit(x) for pair in LATIN.items() for x in pair])
+    char = F.when(code.between(128, 159), F.coalesce(F.try_element_at(latin, code), char)).otherwise(char)
+    return F.when(F.coalesce(valid, F.lit(False)), char).otherwise(F.lit("\ufffd"))
 
 
 def decode_entities(text: Column) -> Column:
-    """Replace HTML entities. ``&amp;`` goes last so nothing is decoded twice."""
-    refs = F.array_distinct(
-        F.regexp_extract_all(text, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(0))
-    )
-    out = F.aggregate(refs, text, lambda acc, ref: F.replace(acc, ref, _numeric_entity(ref)))
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+    """Replace HTML character references, each once; unknown names stay as written."""
+    pieces = F.regexp_extract_all(text, F.lit(f"{_REFERENCE}|[^&]+|&"), F.lit(0))
+    named = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def decode(piece: Column) -> Column:
+        name = F.substring(piece, 2, 1 << 30)
+        is_reference = (F.substring(piece, 1, 1) == "&") & (F.length(piece) > 2)
+        return (
+            F.when(~is_reference, piece)
+            .when(F.substring(piece, 2, 1) == "#", _numbered(piece))
+            .otherwise(F.coalesce(F.try_element_at(named, name), piece))
+        )
+
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, decode), "")).otherwise(text)

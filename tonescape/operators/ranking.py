@@ -10,30 +10,30 @@ from pyspark.sql import functions as F
 #: Parts a group is cut into before its final ranking.
 PARTS = 64
 
+#: Spark's own bound (``spark.sql.optimizer.windowGroupLimitThreshold``) for the early cut.
+CUT_LIMIT = 1000
+
 
 def first_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int, parts: int = PARTS
 ) -> DataFrame:
     """The first ``limit`` rows of every group.
 
-    Two rounds: rows are ranked inside (group, part) first, where the part is the input
-    partition, so even a group with a third of all rows is spread evenly; the final
-    ranking then sees at most ``parts * limit`` rows per group. Spark also cuts each
-    round to ``limit`` rows before its shuffle.
+    Rows are ranked inside (group, part) first, where the part is the input partition, so
+    even a group with a third of all rows is spread evenly; the final ranking then sees at
+    most ``parts * limit`` rows per group. Up to ``CUT_LIMIT`` Spark cuts each round to
+    ``limit`` rows before its shuffle, so input partitions may share ``parts`` parts;
+    beyond, every input partition is a part of its own in a round before that.
     """
     if limit < 0:
         raise ValueError("limit must not be negative")
     part, rank = "_part", "_rank"
-    local = Window.partitionBy(*keys, part).orderBy(*order)
-    whole = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn(part, F.pmod(F.spark_partition_id(), F.lit(parts)))
-        .withColumn(rank, F.row_number().over(local))
-        .filter(F.col(rank) <= limit)
-        .withColumn(rank, F.row_number().over(whole))
-        .filter(F.col(rank) <= limit)
-        .drop(part, rank)
-    )
+    own = df.withColumn(part, F.spark_partition_id())
+    rounds = [[*keys, part], [*keys, F.pmod(part, F.lit(parts))], [*keys]]
+    for group in rounds if limit > CUT_LIMIT else rounds[1:]:
+        window = Window.partitionBy(*group).orderBy(*order)
+        own = own.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= limit)
+    return own.drop(part, rank)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -6,7 +6,6 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
@@ -27,18 +26,15 @@ class TopicOptions:
     learning_offset: float = 10.0
     learning_decay: float = 0.7
     passes: int = 10
-    max_iterations: int = 50
+    #: Share of the texts that one iteration draws, whatever their number.
+    share: float = 0.2
     stop_words: Sequence[str] | None = None
     min_texts: int = 11
 
-    def sampling(self, n_texts: int) -> tuple[float, int]:
-        """Share of the texts per iteration, and the number of iterations.
-
-        Batches of about 128 texts, as long as the corpus is small; a fixed share beyond,
-        because every iteration is one pass over the counts.
-        """
-        share = min(1.0, max(128 / max(n_texts, 1), 0.05))
-        return share, min(self.max_iterations, math.ceil(self.passes / share))
+    @property
+    def iterations(self) -> int:
+        """Iterations that draw as many texts as ``passes`` passes have."""
+        return math.ceil(self.passes / self.share - 1e-9)
 
 
 def stop_word_list(options: TopicOptions, spark: SparkSession) -> list[str]:
@@ -95,15 +91,6 @@ class TopicModel:
     def n_topics(self) -> int:
         return self.options.n_topics
 
-    def get_topic_keywords(self, topic_id: int) -> list[str]:
-        return self.keywords[topic_id] if 0 <= topic_id < len(self.keywords) else []
-
-    def get_topic_name(self, topic_id: int) -> str:
-        words = self.get_topic_keywords(topic_id)
-        if len(words) < 2:
-            return f"Topic {topic_id}"
-        return f"Topic {topic_id}: {words[0]} - {words[1]}"
-
     def keywords_of(self, topic_id: Column) -> Column:
         """Keywords of a topic id; an empty list for an unknown one."""
         table = F.array(*[F.array(*[F.lit(w) for w in words]) for words in self.keywords])
@@ -165,23 +152,18 @@ def fit_topics(
     n_texts = vectors.count()
     if n_texts < options.min_texts or not vocab:
         return None
-    share, iterations = options.sampling(n_texts)
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lda = LDA(
-            k=options.n_topics,
-            optimizer="online",
-            seed=options.seed,
-            learningOffset=options.learning_offset,
-            learningDecay=options.learning_decay,
-            optimizeDocConcentration=False,
-            subsamplingRate=share,
-            maxIter=iterations,
-            featuresCol="_counts",
-            topicDistributionCol="_topics",
-        ).fit(vectors)
-    finally:
-        vectors.unpersist()
+    lda = LDA(
+        k=options.n_topics,
+        optimizer="online",
+        seed=options.seed,
+        learningOffset=options.learning_offset,
+        learningDecay=options.learning_decay,
+        optimizeDocConcentration=False,
+        subsamplingRate=options.share,
+        maxIter=options.iterations,
+        featuresCol="_counts",
+        topicDistributionCol="_topics",
+    ).fit(vectors)
     found = lda.describeTopics(options.n_keywords).orderBy("topic").collect()
     keywords = [[vocab[i] for i in row.termIndices] for row in found]
     return TopicModel(vocab, lda, keywords, options)

@@ -50,12 +50,16 @@ def unify_tweets(scored: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return _project(scored, "twitter", source_id, "text", "created_at", "sentiment", keep)
 
 
-NEWS_ORDER = ("extracted_at", "source", "category", "title", "url")
+NEWS_ORDER = ("extracted_at", "page_id", "position", "source", "category", "title", "url")
 
 
 def number_news(headlines: DataFrame, order: Sequence[str] = NEWS_ORDER) -> DataFrame:
-    """Adds ``news_number``. Best done before scoring: ranges are found by a pass of their own."""
-    return number_rows(headlines, [F.col(c) for c in order], "news_number")
+    """Adds ``news_number``. Best done before scoring: ranges are found by a pass of their own.
+
+    Columns of ``order`` that a feed lacks are left out.
+    """
+    known = [F.col(c) for c in order if c in headlines.columns]
+    return number_rows(headlines, known, "news_number")
 
 
 def unify_news(

@@ -19,12 +19,13 @@ TWEETS = (
 )
 RAW_TWEETS = (
     "id bigint, text string, created_at timestamp_ntz, author_id bigint, retweet_count bigint, "
-    "reply_count bigint, like_count bigint, quote_count bigint"
+    "reply_count bigint, like_count bigint, quote_count bigint, is_retweet boolean"
 )
 USERS = "id bigint, username string, followers_count bigint, location string"
 PAGES = "page_id bigint, source string, category string, html string"
 HEADLINES = (
-    "title string, url string, source string, category string, extracted_at timestamp_ntz"
+    "title string, url string, source string, category string, extracted_at timestamp_ntz, "
+    "page_id bigint, position int"
 )
 UNIFIED = (
     "source string, source_id string, text string, created_at timestamp_ntz, "

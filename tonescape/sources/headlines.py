@@ -5,51 +5,34 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonescape import schemas
 from tonescape.functions.scalar import ntz
-from tonescape.functions.text import decode_entities, drop_tags, non_empty, strip_space
+from tonescape.functions.text import decode_entities, non_empty, strip_space
 from tonescape.operators.ranking import first_per_group
 from tonescape.session import option_table
 
 
 @dataclass(frozen=True)
 class Profile:
-    """How one site marks a headline.
+    """How one site marks a headline, and where its link is.
 
-    ``item`` matches a headline together with the tag that holds its link, if there is
-    one; ``title`` and ``link`` are the groups of the title and of that tag's attributes.
+    A headline is an element ``tag`` whose ``attribute`` holds ``value`` as one of its words
+    (any element of that name where ``attribute`` is None). ``link`` says whose href counts:
+    ``self``, ``parent`` (only if it is an ``a``) or ``grandparent`` (whatever it is).
     """
 
-    item: str
-    title: int
-    link: int
+    tag: str
+    attribute: str | None = None
+    value: str | None = None
+    link: str = "self"
 
 
-_LEAF = r"<(?!h2\b|a\b)(\w+)\b[^>]*>[^<]*</\{n}>|<(?:img|br|hr|input|source)\b[^>]*>|<!--.*?-->|[^<]++"
-
-# The heading's parent is the link: other finished elements may stand between them.
-PARENT_LINK = Profile(
-    item=(
-        r"(?s)(?:<a\b([^>]*)>(?:" + _LEAF.replace("{n}", "2") + r")*+)?"
-        r"<h2\b[^>]*\bdata-testid=[\"']card-headline[\"'][^>]*>(.*?)</h2>"
-    ),
-    title=3,
-    link=1,
-)
-
-# The link sits on the heading's grandparent, whatever element that is.
-GRANDPARENT_LINK = Profile(
-    item=(
-        r"(?s)(?:<\w+\b([^>]*)>\s*<\w+\b[^>]*>\s*)?"
-        r"<span\b[^>]*\bclass=[\"'](?:[^\"']*\s)?container__headline-text(?:\s[^\"']*)?[\"'][^>]*>"
-        r"([^<]*+(?:<(?!/?span\b)[^<]*+|<span\b[^>]*>[^<]*</span>[^<]*+)*+)</span>"
-    ),
-    title=2,
-    link=1,
-)
+# The marks of the two sites.
+PARENT_LINK = Profile("h2", "data-testid", "card-headline", "parent")
+GRANDPARENT_LINK = Profile("span", "class", "container__headline-text", "grandparent")
 
 PROFILES = {"bbc": PARENT_LINK, "cnn": GRANDPARENT_LINK}
 
@@ -60,7 +43,95 @@ DEFAULT_CATEGORIES = {
     "cnn": ["news", "world", "politics"],
 }
 
-_HREF = r"(?i)(?:^|\s)href\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+# Elements without content.
+_VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"]
+
+# Comments, scripts and styles whole; tags; text.
+_TOKEN = (
+    r"(?s)<!--.*?(?:-->|$)|<[!?][^>]*>|(?i:<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>)"
+    r"|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^<]++|<"
+)
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute in any of the three quoting forms, else null."""
+    pattern = rf"(?is)[\s\"'/]{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    value = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+    return F.when(F.regexp_like(tag, F.lit(pattern)), value)
+
+
+def _token(piece: Column, profile: Profile) -> Column:
+    """A piece of a page: its kind, element name, href, text, and whether it is a headline."""
+    name = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][^\s/>]*)", 1))
+    opens, closes = piece.rlike(r"(?s)^<[A-Za-z].*>$"), piece.rlike(r"(?s)^</[A-Za-z].*>$")
+    raw = F.startswith(piece, F.lit("<!")) | F.startswith(piece, F.lit("<?")) | name.isin("script", "style")
+    kind = F.when(raw, "none").when(opens, "open").when(closes, "close").otherwise("text")
+    marked = F.lit(True)
+    if profile.attribute is not None:
+        marked = F.array_contains(F.split(_attribute(piece, profile.attribute), r"\s+"), profile.value)
+    item = (kind == "open") & (name == profile.tag) & F.coalesce(marked, F.lit(False))
+    return F.struct(
+        kind.alias("kind"),
+        name.alias("name"),
+        F.when(kind == "open", _attribute(piece, "href")).alias("href"),
+        F.when(kind == "text", piece).alias("text"),
+        item.alias("item"),
+    )
+
+
+_STATE = (
+    "struct<stack:array<struct<name:string,href:string>>,depth:int,title:string,link:string,"
+    "found:array<struct<title:string,link:string>>>"
+)
+
+
+def _fold(tokens: Column, profile: Profile) -> Column:
+    """The state after one walk through a page's tokens with a stack of open elements.
+
+    A closing tag closes its innermost open element and all within; others are ignored.
+    """
+    element = "struct<name:string,href:string>"
+
+    def step(s: Column, x: Column) -> Column:
+        stack, size = s["stack"], F.size(s["stack"])
+        opens, closes = x["kind"] == "open", x["kind"] == "close"
+        above = F.array_position(F.reverse(F.transform(stack, lambda e: e["name"])), x["name"]).cast("int")
+        left = F.when(closes & (above > 0), size - above).otherwise(size)
+        begins = x["item"] & (s["depth"] == 0)
+        ends = (s["depth"] > 0) & (left < s["depth"])
+        up = F.try_element_at(stack, F.lit(-2 if profile.link == "grandparent" else -1))
+        if profile.link == "self":
+            link = x["href"]
+        elif profile.link == "parent":
+            link = F.when(up["name"] == "a", up["href"])
+        else:
+            link = up["href"]
+        own = F.struct(x["name"].alias("name"), x["href"].alias("href"))
+        grown = F.when(opens & ~x["name"].isin(_VOID), F.concat(stack, F.array(own)))
+        title = F.when(begins, "").when((s["depth"] > 0) & (x["kind"] == "text"), F.concat(s["title"], x["text"]))
+        done = F.concat(s["found"], F.array(F.struct(s["title"].alias("title"), s["link"].alias("link"))))
+        return F.struct(
+            F.coalesce(grown, F.slice(stack, 1, left)).alias("stack"),
+            F.when(begins, size + 1).when(ends, 0).otherwise(s["depth"]).alias("depth"),
+            F.coalesce(title, s["title"]).alias("title"),
+            F.when(begins, link).otherwise(s["link"]).alias("link"),
+            F.when(ends, done).otherwise(s["found"]).alias("found"),
+        )
+
+    start = F.struct(
+        F.array().cast(f"array<{element}>").alias("stack"),
+        F.lit(0).alias("depth"),
+        F.lit("").alias("title"),
+        F.lit(None).cast("string").alias("link"),
+        F.array().cast("array<struct<title:string,link:string>>").alias("found"),
+    ).cast(_STATE)
+    return F.aggregate(tokens, start, lambda s, x: step(s, x).cast(_STATE))
+
+
+def _found(last: Column) -> Column:
+    """All headlines of a walk, one that the page's end closes included."""
+    open_one = F.array(F.struct(last["title"].alias("title"), last["link"].alias("link")))
+    return F.when(last["depth"] > 0, F.concat(last["found"], open_one)).otherwise(last["found"])
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -69,24 +140,23 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 def extract_headlines(pages: DataFrame, profile: Profile, extracted_at=None) -> DataFrame:
     """Every headline of every page, in page order: a narrow pass over the pages."""
-    item = F.col("_item")
-    attributes = F.regexp_extract(item, profile.item, profile.link)
-    href = F.concat(
-        F.regexp_extract(attributes, _HREF, 1), F.regexp_extract(attributes, _HREF, 2)
-    )
-    title = F.regexp_extract(item, profile.item, profile.title)
+    pieces = F.regexp_extract_all("html", F.lit(_TOKEN), F.lit(0))
+    tokens = F.transform(pieces, lambda p: _token(p, profile))
     kept = [c for c in pages.columns if c != "html"]
-    return pages.select(
-        *kept,
-        F.posexplode(F.regexp_extract_all("html", F.lit(profile.item), F.lit(0))).alias(
-            "position", "_item"
-        ),
-    ).select(
-        *kept,
-        "position",
-        strip_space(decode_entities(drop_tags(title))).alias("title"),
-        non_empty(decode_entities(href)).alias("url"),
-        ntz(extracted_at).alias("extracted_at"),
+    # Pages without the mark are not walked.
+    mark = profile.value or f"<{profile.tag}"
+    likely = F.contains(F.lower("html"), F.lit(mark))
+    return (
+        pages.where(likely)
+        .select(*kept, _fold(tokens, profile).alias("_last"))
+        .select(*kept, F.posexplode(_found(F.col("_last"))).alias("position", "_item"))
+        .select(
+            *kept,
+            "position",
+            strip_space(decode_entities(F.col("_item.title"))).alias("title"),
+            non_empty(decode_entities(F.col("_item.link"))).alias("url"),
+            ntz(extracted_at).alias("extracted_at"),
+        )
     )
 
 

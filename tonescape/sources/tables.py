@@ -26,6 +26,10 @@ LAYOUT: dict[str, tuple[str, list[str]]] = {
 }
 
 
+#: Where a headline stood; null for feeds that do not say.
+PLACE = ("page_id", "position")
+
+
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Append and return the number of rows, counted while they are written."""
     seen = Observation(f"append-{uuid.uuid4().hex}")
@@ -36,7 +40,10 @@ def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
 
 def append_table(df: DataFrame, root: str, table: str, run_id: str) -> int:
     ddl, partition_by = LAYOUT[table]
-    df = df.withColumn("run_id", F.lit(run_id)).select(*schemas.columns(ddl))
+    df = df.withColumn("run_id", F.lit(run_id))
+    kinds = dict(part.split() for part in ddl.split(", "))
+    missing = {c: F.lit(None).cast(kinds[c]) for c in PLACE if c in kinds and c not in df.columns}
+    df = df.withColumns(missing).select(*kinds)
     return append_rows(df, f"{root}/{table}", partition_by)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +12,20 @@ from tonescape import schemas
 from tonescape.functions.text import words
 from tonescape.operators.lookup import lookup_join, unique_last
 from tonescape.operators.ranking import first_per_group
-from tonescape.session import option_table
+from tonescape.session import OPTION_ROWS, option_table
 
 # The smallest and largest page the search serves.
 LIMIT_MIN = 10
 LIMIT_MAX = 100
 
 
-def read_tweets(spark: SparkSession, tweets: str, users: str, fmt: str = "json") -> DataFrame:
-    """Landed messages with their authors, ready to be searched."""
-    return with_authors(
-        spark.read.schema(schemas.RAW_TWEETS).format(fmt).load(tweets),
-        spark.read.schema(schemas.USERS).format(fmt).load(users),
-    )
+def read_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Landed messages, ready to be searched."""
+    return spark.read.schema(schemas.RAW_TWEETS).format(fmt).load(path)
+
+
+def read_users(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    return spark.read.schema(schemas.USERS).format(fmt).load(path)
 
 
 def clamp_limit(requested: int) -> int:
@@ -41,21 +43,37 @@ def drop_retweets(tweets: DataFrame) -> DataFrame:
     return tweets.filter(~F.coalesce(F.startswith("text", F.lit("RT @")), F.lit(False)))
 
 
+def term_words(term: str) -> list[str]:
+    """The words of a search term, cut as the words of a message are."""
+    found = _WORD.findall(term.lower())
+    if not found:
+        raise ValueError(f"a search term needs a word: {term!r}")
+    return found
+
+
+_WORD = re.compile(r"\w+")
+
+
 def match_terms(tweets: DataFrame, terms: Sequence[str]) -> DataFrame:
     """One row per (message, term) where the message has every word of the term.
 
     An equi-join on the first word of the term, then a check of the others in the same
     row: no comparison of every message with every term, and no second shuffle.
     """
+    listed = {t: term_words(t) for t in dict.fromkeys(terms)}
     wanted = option_table(
         tweets.sparkSession,
-        [(t, t.lower().split(), t.lower().split()[0]) for t in dict.fromkeys(terms) if t.split()],
+        [(t, found, found[0]) for t, found in listed.items()],
         "keyword string, _words array<string>, _first string",
     )
+    firsts = sorted({found[0] for found in listed.values()})
+    has = F.col("_has")
+    # With a list that may be sent to every task, only words that begin a term go on.
+    begins = F.array_intersect(has, F.lit(firsts)) if 0 < len(firsts) <= OPTION_ROWS else has
     return (
         tweets.drop("keyword")
         .withColumn("_has", F.array_distinct(words(F.col("text"))))
-        .withColumn("_first", F.explode("_has"))
+        .withColumn("_first", F.explode(begins))
         .join(wanted, "_first")
         .filter(F.size(F.array_except("_words", "_has")) == 0)
         .drop("_has", "_first", "_words")
@@ -82,6 +100,17 @@ def search(
     return search_terms(tweets, [keyword], max_results, include_retweets)
 
 
+def search_with_authors(
+    messages: DataFrame,
+    users: DataFrame,
+    terms: Sequence[str],
+    per_term: int = 100,
+    include_retweets: bool = False,
+) -> DataFrame:
+    """Search first, then look up the authors of what was found: at most 100 rows per term."""
+    return with_authors(search_terms(messages, terms, per_term, include_retweets), users)
+
+
 def with_authors(tweets: DataFrame, users: DataFrame) -> DataFrame:
     """Messages with author fields; null where the author is unknown.
 
@@ -94,6 +123,7 @@ def with_authors(tweets: DataFrame, users: DataFrame) -> DataFrame:
         ["author_id"],
         [F.col(c) for c in [*order, *fields]],
     ).drop(*order)
+    keyword = F.col("keyword") if "keyword" in tweets.columns else F.lit(None).cast("string")
     return lookup_join(tweets, authors, "author_id", ["id"]).select(
         "id",
         "text",
@@ -106,6 +136,6 @@ def with_authors(tweets: DataFrame, users: DataFrame) -> DataFrame:
         "like_count",
         "quote_count",
         "location",
-        F.lit(None).cast("string").alias("keyword"),
+        keyword.alias("keyword"),
         F.lit("twitter").alias("source"),
     )
