@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from tonescape.llm.tokens import encoder
 from tonescape.session import stage
 
-#: Rows of one length that one task ranks.
-RANK_ROWS = 50_000
+#: Rows of one length that are ranked together.
+RANK_ROWS = 1_000
 
 _PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -249,8 +249,9 @@ def pack(docs: DataFrame, path: str, options: PackOptions = PackOptions()) -> Da
     for row in counts:
         histogram[row["length"]] = row["count"]
     plan = make_plan(histogram, options)
-    spread = max(1, math.ceil(int(histogram.max(initial=0)) / RANK_ROWS))
-    short = short.withColumn("part", F.pmod(F.xxhash64("row_id"), F.lit(spread)))
+    spread = np.maximum(1, -(-histogram // RANK_ROWS)).tolist()
+    parts = F.element_at(F.lit(spread), F.col("length").cast("int") + 1)
+    short = short.withColumn("part", F.pmod(F.xxhash64("row_id"), parts))
     sizes = short.groupBy("length", "part").agg(F.count("*").alias("n"))
     order = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("length", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
