@@ -23,6 +23,9 @@ from tonescape.session import stage
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
+#: Up to so many hosts (names of 64 bytes on average) every task gets all verdicts.
+BROADCAST_HOSTS = 100_000
+
 STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -157,6 +160,9 @@ def judge(docs: DataFrame, host: str = "source", options: QualityOptions = Quali
     The counts are stored once, so the texts are read once; only they are shuffled.
     """
     ruled = with_rules(stage(text_stats(docs, host), "quality"), options)
-    verdicts = host_verdicts(ruled, options)
+    verdicts = stage(host_verdicts(ruled, options), "hosts")
+    few = verdicts.agg(F.count("*"), F.sum(F.octet_length("host"))).first()
+    if few[0] <= BROADCAST_HOSTS and (few[1] or 0) <= 64 * BROADCAST_HOSTS:
+        verdicts = F.broadcast(verdicts)  # else a host of many documents is split by the join
     joined = ruled.join(verdicts, "host", "left")
     return joined.withColumn("kept", ~F.col("failed") & ~F.col("host_poor"))
