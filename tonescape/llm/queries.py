@@ -38,6 +38,30 @@ def op1_super_kmers(spark, sf_dir):
     return super_kmers.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op1_super_kmers"] = r"""
+    with words as (
+      select doc_id, unnest(ws) word, unnest(generate_series(1, len(ws))) pos
+      from (select doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') ws from documents)
+    ), windows as (
+      select doc_id, pos, string_agg(word, ' ') over w key, count(*) over w n from words
+      window w as (partition by doc_id order by pos rows between current row and 19 following)
+    ), later as (
+      select doc_id, pos from windows where n = 20
+      qualify row_number() over (partition by key order by doc_id, pos) > 1
+    ), covered as (
+      select distinct doc_id, pos + o pos from later, range(20) t(o)
+    ), marked as (
+      select doc_id, word, pos, c.pos is not null gone from words left join covered c using (doc_id, pos)
+    ), counted as (
+      select doc_id, count(*) n, count(*) filter (where gone) removed,
+             string_agg(word, ' ' order by pos) filter (where not gone) kept
+      from marked group by doc_id
+    )
+    select doc_id, cast(coalesce(n, 0) as bigint) n_words, cast(coalesce(removed, 0) as bigint) n_removed,
+           sha256(coalesce(kept, '')) kept_sha256
+    from documents left join counted using (doc_id)"""
+
+
 @query
 def op2_suffix_ranks(spark, sf_dir):
     return suffix_ranks.remove_repeats(table(spark, sf_dir, "documents"))
