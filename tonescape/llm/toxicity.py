@@ -384,6 +384,7 @@ def fit(
             part = order[i : i + o.batch]
             _learn(net, texts.features, index[part], target[part])
     _calibrate(net, worst_logits(net, texts), labels, np.where(labels == 1, 1.0, clean_weight))
+    net._squares.clear()  # of no use after training, and tasks get what the network holds
     return net
 
 
