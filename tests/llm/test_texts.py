@@ -195,6 +195,32 @@ def test_benchmark_edits(spark, frame):
     assert qgram_match.contaminated(frame([]), items).collect() == []
 
 
+def test_benchmark_items_of_every_length(spark, frame):
+    rnd = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def word(size):
+        return "".join(rnd.choice(letters) for _ in range(size))
+
+    items = {m: word(m) for m in range(10, 101)}
+    rows = [(m, word(30) + item + word(30), "a") for m, item in items.items()]
+    rows += [(1000 + m, item, "a") for m, item in items.items()]
+    options = qgram_match.MatchOptions()
+    for m in (15, 16, 17, 18, 19, 29, 40):  # as many edits as allowed, evenly spread
+        edits = options.budget(m)
+        near = list(items[m])
+        for k in range(edits):
+            near[(k + 1) * m // (edits + 1)] = "#"
+        rows.append((2000 + m, word(30) + "".join(near) + word(30), "a"))
+        near[0] = near[-1] = "#"
+        rows.append((3000 + m, word(30) + "".join(near)[::-1] + word(30), "a"))
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {r.doc_id: r for r in qgram_match.contaminated(frame(rows), benchmark).collect()}
+    for doc, r in got.items():
+        assert r["items"] == ([] if doc >= 3000 else [doc % 1000]), doc
+    assert all(got[m].spans == f"30:{30 + m}" for m in items)
+
+
 def test_band_distance_is_the_edit_distance():
     rnd = random.Random(2)
     for _ in range(30):

@@ -7,14 +7,15 @@ overlap by half, so some band holds them all; a band that meets the bound is ali
 within its diagonals, and stays if the edits are within the budget.
 
 Long benchmark items are cut into overlapping segments, so a part of an item is found too.
-Letters are compared without case, and runs of white space as one blank.
+Where the edits allowed leave no q-gram of the usual size for sure, shorter q-grams are
+counted. Letters are compared without case, and runs of white space as one blank.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,10 @@ _BITS = 22
 
 @dataclass(frozen=True)
 class MatchOptions:
-    """``q``: characters of a q-gram; ``segment``: characters compared at a time, one every
-    half of that; ``edits``: edits allowed per character. ``part_chars``: characters of the
-    benchmark that tasks hold at a time; a larger one is matched in several passes."""
+    """``q``: characters of a q-gram at most, and of an item at least; ``segment``: characters
+    compared at a time, one every half of that; ``edits``: edits allowed per character.
+    ``part_chars``: characters of the benchmark that tasks hold at a time; a larger one is
+    matched in several passes."""
 
     q: int = 10
     segment: int = 96
@@ -42,6 +44,11 @@ class MatchOptions:
     def budget(self, m: int) -> int:
         return int(self.edits * m)
 
+    def gram(self, m: int) -> int:
+        """Characters of the q-grams by which m characters are found: the most, up to ``q``, of
+        which a match within the edits shares one at least."""
+        return max(1, min(self.q, m // (self.budget(m) + 1)))
+
     def bound(self, m: int) -> int:
         """Shared q-grams of a match of m characters, at least."""
         return m + 1 - self.q * (self.budget(m) + 1)
@@ -79,7 +86,7 @@ class Index:
 
 
 def build_index(items: list[tuple[int, str]], o: MatchOptions) -> Index:
-    """Items too short for the bound (under about ``q`` characters) are not searched for."""
+    """Of items whose segments meet the bound with ``q``; ``build_indexes`` chooses it by item."""
     owner, segments = [], []
     for item, text in items:
         codes, _ = normalised(text.strip())
@@ -103,6 +110,20 @@ def build_index(items: list[tuple[int, str]], o: MatchOptions) -> Index:
     return Index(np.array(owner, np.int64), segments, hashes, first, of[order], offset[order], seen)
 
 
+def build_indexes(items: list[tuple[int, str]], o: MatchOptions) -> list[tuple[Index, MatchOptions]]:
+    """One index for each size of q-grams, with that size as its options' ``q``.
+
+    Only items shorter than ``o.q`` characters once normalised are not searched for.
+    """
+    own: dict[int, list[tuple[int, str]]] = {}
+    for item, text in items:
+        m = min(o.segment, len(normalised(text.strip())[0]))
+        if m >= o.q:
+            own.setdefault(o.gram(m), []).append((item, text))
+    sized = [(replace(o, q=q), own[q]) for q in sorted(own)]
+    return [(build_index(some, options), options) for options, some in sized]
+
+
 def candidates(codes: np.ndarray, index: Index, o: MatchOptions) -> tuple[np.ndarray, np.ndarray]:
     """Segment and first diagonal of the bands that meet the bound."""
     none = np.empty(0, np.int64)
@@ -188,7 +209,9 @@ def matches(codes: np.ndarray, row_of: np.ndarray, index: Index, o: MatchOptions
 _FOUND = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _match(batches: Iterator[pa.RecordBatch], index: Index, o: MatchOptions) -> Iterator[pa.RecordBatch]:
+def _match(
+    batches: Iterator[pa.RecordBatch], indexes: list[tuple[Index, MatchOptions]], o: MatchOptions
+) -> Iterator[pa.RecordBatch]:
     gap = np.full(o.segment, -1, np.int64)
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -203,8 +226,9 @@ def _match(batches: Iterator[pa.RecordBatch], index: Index, o: MatchOptions) ->
                 places += [place, gap]
                 size += len(codes)
                 at += 1
-            place = np.concatenate(places)
-            for row, item, start, stop in matches(np.concatenate(parts), np.concatenate(rows), index, o):
+            place, codes, row_of = np.concatenate(places), np.concatenate(parts), np.concatenate(rows)
+            hits = {hit for index, own in indexes for hit in matches(codes, row_of, index, own)}
+            for row, item, start, stop in sorted(hits):
                 found[row].append({"item_id": item, "start": int(place[start]), "end": int(place[stop - 1]) + 1})
         found = [sorted(f, key=lambda x: (x["start"], x["item_id"], x["end"])) for f in found]
         keep = [n for n in batch.schema.names if n != "found"]
@@ -217,8 +241,9 @@ def match(docs: DataFrame, benchmark: DataFrame, o: MatchOptions = MatchOptions(
     """All columns of ``docs`` and ``found``: (item_id, start, end) of benchmark segments.
 
     Offsets are code points of the text, ends exclusive, sorted by start. Null and empty texts
-    have none; null benchmark texts are not searched for, nor are ones shorter than a q-gram;
-    a null item_id is -1. Repeated rows are matched each; items that repeat are each reported.
+    have none; null benchmark texts are not searched for, nor are ones shorter than ``q``
+    characters once normalised; all longer ones are, within the edits allowed for their length.
+    A null item_id is -1. Repeated rows are matched each; items that repeat are each reported.
     An empty benchmark finds nothing, and an empty table gives no rows. A column of ``docs``
     that is called ``found`` is replaced. Narrow: no shuffle. The benchmark's size is taken
     first; tasks hold at most ``part_chars`` of it at a time.
@@ -230,10 +255,10 @@ def match(docs: DataFrame, benchmark: DataFrame, o: MatchOptions = MatchOptions(
     docs = docs.drop("found")
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
-        index = build_index(sorted((r["item_id"], r["text"]) for r in own), o)
+        indexes = build_indexes(sorted((r["item_id"], r["text"]) for r in own), o)
         kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "found")
         schema = f"{kept}, found array<struct<item_id:long,start:long,end:long>>"
-        docs = docs.mapInArrow(lambda it, index=index: _match(it, index, o), schema)
+        docs = docs.mapInArrow(lambda it, indexes=indexes: _match(it, indexes, o), schema)
     return docs
 
 
