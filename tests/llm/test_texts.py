@@ -152,6 +152,24 @@ def test_links_and_scripts_are_left_out():
     assert main_text.main_text("<article><h1>Only</h1></article>") == "Only"
 
 
+def test_only_whole_attribute_names_count():
+    prose = "The one and the other of it all, and that is what it was for them in the end."
+    kept = [
+        'data-title="Hidden gems of Rome"', 'aria-label="The hidden cost"', 'data-overflow="hidden"', "data-hidden", "x-hidden=''",
+        'title="class=sidebar"', "title='a class=\"sidebar\" b'", 'data-class="sidebar"', 'data-id="footer"', 'data-role="banner"',
+        'title="id=footer role=banner hidden"', 'data-style="display:none"', 'alt="a"title="hidden"', "title = ' hidden '",
+        'hidden-text="x"', 'class="story" data-x=hidden',
+    ]
+    gone = [
+        "hidden", "HIDDEN", 'hidden=""', "hidden='hidden'", 'class="sidebar"', "class=sidebar", "id='footer'", "role = banner",
+        'aria-hidden="true"', 'style="color:red; display : none"', 'title="x" hidden', 'data-a="b"class="sidebar"', "data-x\nhidden\n",
+    ]
+    for tag in ("article", "section", "div", "p"):
+        for attributes in kept + gone:
+            page = f"<body><{tag} {attributes}>{prose}</{tag}></body>"
+            assert main_text.main_text(page) == (prose if attributes in kept else ""), (tag, attributes)
+
+
 # --- Benchmark ------------------------------------------------------------------------------
 
 

@@ -61,7 +61,8 @@ _TOKEN = re.compile(
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
+#: One whole attribute, so that a name inside another's name or value is not taken for one.
+_ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>\"'][^\s>]*)))?")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
@@ -95,8 +96,8 @@ def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes or tag in ("html", "body", "main"):
         return False
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
             if tag == "header" and in_article:
                 continue
@@ -111,8 +112,9 @@ def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
         elif name == "style":
             if _HIDDEN.search(value):
                 return True
-        elif not value or value.lower() == "hidden":
-            return True
+        elif name == "hidden":
+            if not value or value.lower() == "hidden":
+                return True
     return False
 
 
