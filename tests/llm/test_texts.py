@@ -64,6 +64,29 @@ def test_poor_host(frame):
     assert got[101].kept and not got[101].host_poor
 
 
+def test_prior_from_all_hosts(frame):
+    good = " ".join(f"w{i}" for i in range(80))
+    rates = [(10, 2)] * 12 + [(10, 1)] * 12 + [(10, 6), (10, 3), (5, 0), (5, 1), (1, 0), (1, 0), (1, 1), (2, 0)]
+    for sizes in (rates, [*rates, (60, 15), (40, 2)], [(1, 0)] * 6 + [(1, 1)] * 2):
+        rows = [
+            (1000 * h + i, "short" if i < failed else f"{good} {h} {i}", f"h{h}")
+            for h, (n, failed) in enumerate(sizes)
+            for i in range(n)
+        ]
+        n, x = (np.array(v, float) for v in zip(*sizes))
+        mean, share = x.sum() / n.sum(), 1 - n / n.sum()
+        scatter = (n * (x / n - mean) ** 2).sum() - mean * (1 - mean) * share.sum()
+        weight = mean * (1 - mean) * ((n - 1) * share).sum()
+        inner = min(max(scatter / weight, 0), 1) if weight else 0
+        strength = min(1 / inner - 1, 1000) if inner else 1000
+        shrunk = (x + mean * strength) / (n + strength)
+        for r in quality_rules.judge(frame(rows)).collect():
+            own = shrunk[int(r.host[1:])]
+            assert r.shrunk_rate == pytest.approx(own) and r.host_poor == (own > 0.5)
+            assert r.kept == (not r.failed and own <= 0.5)
+        assert shrunk[0] < 0.5 and len(sizes) < 25 or shrunk[24] < 0.5  # 6 failures of 10
+
+
 def test_beta_prior():
     assert quality_rules.beta_prior((None, None)) == (0.5, 0.5)
     a, b = quality_rules.beta_prior((0.2, 0.01))

@@ -2,8 +2,8 @@
 
 Each document gets counts from its text and fails or passes four rules. Failures are
 counted by host. A host with few documents says little, so its failure rate is shrunk to
-the rate of all hosts with a beta prior whose two parameters come from the hosts
-themselves (moments of their rates). A host is poor when its shrunk rate stays above a
+the rate of all hosts with a beta prior whose two parameters come from all hosts
+themselves (moments of the beta-binomial distribution, weighted by documents). A host is poor when its shrunk rate stays above a
 limit, and the verdict goes back to its documents.
 """
 
@@ -34,14 +34,13 @@ class QualityOptions:
     """Limits. A text fails with fewer words than ``min_words``, more than ``max_repeat`` of
     its words in repeated windows, more than ``max_symbols`` symbols a word, or more than
     ``max_dup_lines`` of its lines repeated. A host is poor when its shrunk failure rate is
-    over ``max_host_rate``; only hosts with ``min_host_documents`` shape the prior."""
+    over ``max_host_rate``."""
 
     min_words: int = 50
     max_repeat: float = 0.5
     max_symbols: float = 0.1
     max_dup_lines: float = 0.3
     max_host_rate: float = 0.5
-    min_host_documents: int = 20
 
 
 def _chunk_stats(chunk: wc.Chunk) -> dict[str, np.ndarray]:
@@ -122,29 +121,49 @@ def with_rules(stats: DataFrame, options: QualityOptions) -> DataFrame:
 def beta_prior(rates: tuple[float | None, float | None]) -> tuple[float, float]:
     """Parameters of the beta distribution with this mean and variance of host rates.
 
-    With one host, or with no spread, the prior is as strong as 1,000 documents.
+    With no spread, or where nothing tells hosts apart, the prior is as strong as 1,000
+    documents. Without hosts there is nothing to shrink, and the prior has no meaning.
     """
     mean, variance = rates
     if mean is None:
         return 0.5, 0.5
-    mean = min(max(mean, 1e-3), 1 - 1e-3)
     strength = mean * (1 - mean) / variance - 1 if variance else 1000.0
-    strength = min(max(strength, 1.0), 1000.0)
+    strength = min(max(strength, 0.0), 1000.0)
     return mean * strength, (1 - mean) * strength
 
 
+def rate_moments(
+    hosts: int, documents: int, failed: int, squares: float, scatter: float
+) -> tuple[float | None, float | None]:
+    """Mean of the hosts' rates and their variance without that of drawing the documents.
+
+    ``squares``: sum of the hosts' squared document counts; ``scatter``: sum of their squared
+    failures, each over its documents. Every host weighs as much as it has documents, so
+    small ones count without a least size (Kleinman's moments with these weights). The
+    variance is 0 where the rates differ by no more than chance, or cannot differ: with one
+    host, or one document in each.
+    """
+    if not hosts:
+        return None, None
+    mean = failed / documents
+    chance = mean * (1 - mean)
+    spread = scatter - failed * mean - chance * (hosts - 1)
+    weight = documents - squares / documents - (hosts - 1)
+    if chance == 0 or weight <= 1e-9 * documents:
+        return mean, 0.0
+    return mean, min(max(spread / weight, 0.0), chance)
+
+
 def host_verdicts(ruled: DataFrame, options: QualityOptions) -> DataFrame:
     """host, n_documents, n_failed, shrunk_rate, host_poor; one row per host."""
     hosts = ruled.groupBy("host").agg(
         F.count("*").alias("n_documents"), F.sum(F.col("failed").cast("long")).alias("n_failed")
     )
-    rate = F.col("n_failed") / F.col("n_documents")
-    moments = (
-        hosts.where(F.col("n_documents") >= options.min_host_documents)
-        .agg(F.avg(rate).alias("mean"), F.var_pop(rate).alias("variance"))
-        .first()
-    )
-    alpha, beta = beta_prior((moments["mean"], moments["variance"]))
+    documents, failed = F.col("n_documents").cast("double"), F.col("n_failed").cast("double")
+    sums = hosts.agg(
+        F.count("*"), F.sum("n_documents"), F.sum("n_failed"), F.sum(documents**2), F.sum(failed**2 / documents)
+    ).first()
+    alpha, beta = beta_prior(rate_moments(*sums))
     shrunk = (F.col("n_failed") + F.lit(alpha)) / (F.col("n_documents") + F.lit(alpha + beta))
     return hosts.withColumn("shrunk_rate", shrunk).withColumn(
         "host_poor", F.col("shrunk_rate") > options.max_host_rate
