@@ -133,6 +133,23 @@ def test_ownership_and_redaction(frame):
     assert changed[0].text == f"{example} é" and changed[10].text is None
 
 
+def test_examples_of_one_owner(frame):
+    example, live, copied = "token = exampleexample1", "token = liveliveliveliv2", "token = copiedcopiedcop3"
+    rows = [(i, f"{example} in text {i}", "s0") for i in range(40)]
+    rows += [(100 + i, f"{live} in text {i}", "s0") for i in range(9)]
+    rows += [(200 + i, f"{copied} in one text", f"s{i % 2}") for i in range(40)]
+    got = {r.doc_id: r for r in secret_scan.scan(frame(rows)).collect()}
+    counts = {d: [(s.n_repositories, s.n_owners, s.verdict) for s in got[d].judged] for d in (0, 100, 200)}
+    assert counts == {0: [(40, 1, "example")], 100: [(9, 1, "live")], 200: [(1, 2, "live")]}
+    texts = {r.doc_id: r.text for r in secret_scan.redact(frame(rows)).collect()}
+    assert [d for d, t, _ in rows if texts[d] == t] == list(range(40))
+
+
+def test_secrets_query_shows_counts(spark):
+    for r in queries.QUERIES["op9_secret_scan"](spark, SF_DIR).collect():
+        assert len(r.n_repositories) == len(r.n_owners) == r.n_live + r.n_example
+
+
 # --- Pages ----------------------------------------------------------------------------------
 
 

@@ -107,8 +107,9 @@ def op8_quality_rules(spark, sf_dir):
 @query
 def op9_secret_scan(spark, sf_dir):
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    counts = [F.col(f"judged.{name}").alias(name) for name in ("n_repositories", "n_owners")]
     return found.select(
-        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example"
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", *counts, "n_live", "n_example"
     )
 
 

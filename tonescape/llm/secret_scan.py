@@ -1,9 +1,10 @@
 """Credentials in texts, told apart by how many owners show the same one.
 
 Patterns find candidates in whole texts. Each candidate's value is hashed, and the hashes
-are counted over the whole corpus: in how many repositories (documents) and by how many
-owners (sources) does the same value stand? A value that several owners show is a widely
-copied example; one that stays with its owner looks live.
+are counted over the whole corpus: in how many repositories (documents, exact copies of a
+text counted once) and by how many owners (sources) does the same value stand? A value that
+several owners or many repositories show is a widely copied example; one that stays with
+its owner, in few repositories, looks live.
 """
 
 from __future__ import annotations
@@ -42,9 +43,11 @@ _SPANS_SQL = "array<struct<kind:string,start:long,end:long,value_hash:binary>>"
 
 @dataclass(frozen=True)
 class SecretOptions:
-    """A value shown by ``example_owners`` owners or more is an example."""
+    """A value shown by ``example_owners`` owners or more is an example, and so is one that
+    ``example_repositories`` different texts or more show, whoever owns them."""
 
     example_owners: int = 3
+    example_repositories: int = 10
 
 
 def find_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -93,14 +96,14 @@ def _scan(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.Rec
 
 
 def candidates(docs: DataFrame, owner: str = "source") -> DataFrame:
-    """doc_id, owner, counts per base kind, digest and list of spans. Narrow, texts read once."""
-    kept = docs.select("doc_id", F.col(owner).cast("string").alias("owner"), "text")
+    """doc_id, owner, text_hash, counts per base kind, digest and list of spans. Narrow, texts read once."""
+    kept = docs.select("doc_id", F.col(owner).cast("string").alias("owner"), F.xxhash64("text").alias("text_hash"), "text")
     kind = dict(kept.dtypes)["doc_id"]
     schema = (
-        f"doc_id {kind}, owner string, n_assign long, n_access long, n_hex long, "
+        f"doc_id {kind}, owner string, text_hash long, n_assign long, n_access long, n_hex long, "
         f"base_sha256 string, spans string, found {_SPANS_SQL}"
     )
-    return kept.mapInArrow(lambda it: _scan(it, ["doc_id", "owner"]), schema)
+    return kept.mapInArrow(lambda it: _scan(it, ["doc_id", "owner", "text_hash"]), schema)
 
 
 #: Matches every text that has a candidate (and some that have none).
@@ -124,28 +127,26 @@ def candidates_of(docs: DataFrame, key: list[Column], owner: str) -> DataFrame:
 
 
 def ownership(found: DataFrame, options: SecretOptions = SecretOptions()) -> DataFrame:
-    """value_hash, n_repositories, n_owners, verdict, from rows with doc_id, owner, found.
+    """value_hash, n_repositories, n_owners, verdict, from rows with text_hash, owner, found.
 
-    Counted in two steps, first per value and owner, so that no task sees more of a value
-    that stands everywhere than one row per owner and task.
+    Spark counts distinct texts and owners in steps, first per value and text or owner, so
+    that no task sees more of a value that stands everywhere than one row per task before.
     """
-    each = found.select(F.col("doc_id"), "owner", F.explode("found.value_hash").alias("value_hash"))
-    repositories = each.groupBy("value_hash", "owner", "doc_id").agg(F.count("*").alias("n"))
-    owners = repositories.groupBy("value_hash", "owner").agg(F.count("*").alias("n_repositories"))
-    counted = owners.groupBy("value_hash").agg(
-        F.sum("n_repositories").alias("n_repositories"), F.count("*").alias("n_owners")
+    each = found.select("text_hash", F.struct("owner").alias("owner"), F.explode("found.value_hash").alias("value_hash"))
+    counted = each.groupBy("value_hash").agg(
+        F.count_distinct("text_hash").alias("n_repositories"), F.count_distinct("owner").alias("n_owners")
     )
-    shared = F.col("n_owners") >= options.example_owners
+    shared = (F.col("n_owners") >= options.example_owners) | (F.col("n_repositories") >= options.example_repositories)
     return counted.withColumn("verdict", F.when(shared, "example").otherwise("live"))
 
 
 def judged_spans(found: DataFrame, options: SecretOptions = SecretOptions()) -> DataFrame:
-    """row_id and, for rows with candidates, their list of (start, end, kind, verdict)."""
-    verdicts = ownership(found, options).select("value_hash", "n_owners", "verdict")
+    """row_id and, for rows with candidates, their list of (start, end, kind, n_repositories, n_owners, verdict)."""
+    verdicts = ownership(found, options)
     each = found.select("row_id", F.explode("found").alias("span"))
     each = each.select("row_id", "span.*")
     joined = each.join(verdicts, "value_hash", "left")
-    entry = F.struct("start", "end", "kind", "n_owners", "verdict")
+    entry = F.struct("start", "end", "kind", "n_repositories", "n_owners", "verdict")
     return joined.groupBy("row_id").agg(F.sort_array(F.collect_list(entry)).alias("judged"))
 
 
@@ -153,16 +154,16 @@ def scan(docs: DataFrame, owner: str = "source", options: SecretOptions = Secret
     """Each row of ``docs``: its candidates and how the corpus judges them.
 
     Columns: doc_id, owner, n_assign, n_access, n_hex, base_sha256, spans, found, judged
-    (list of start, end, kind, n_owners, verdict), n_live, n_example. Offsets are code
+    (list of start, end, kind, n_repositories, n_owners, verdict), n_live, n_example. Offsets are code
     points, ends exclusive. Null text: empty. Null owner: an owner like any other. A
-    repeated row gives a repeated result; its values count once per doc_id. No candidates:
+    repeated row gives a repeated result; its values count once per different text. No candidates:
     zeros and an empty list. Other columns of ``docs`` are not read. What the texts gave is
     stored once; the two shuffles carry hashes and offsets, not texts.
     """
     found = stage(candidates(docs, owner).withColumn("row_id", F.monotonically_increasing_id()), "secrets")
     judged = found.drop("found").join(judged_spans(found, options), "row_id", "left")
     judged = judged.withColumn("judged", F.coalesce("judged", F.array().cast(dict(judged.dtypes)["judged"])))
-    return judged.withColumns({f"n_{v}": _count(F.col("judged"), v) for v in ("live", "example")}).drop("row_id")
+    return judged.withColumns({f"n_{v}": _count(F.col("judged"), v) for v in ("live", "example")}).drop("row_id", "text_hash")
 
 
 def _count(spans: Column, verdict: str) -> Column:
@@ -203,8 +204,7 @@ def redact(docs: DataFrame, owner: str = "source", options: SecretOptions = Secr
     """
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"), F.xxhash64("text").alias("text_hash")]
     found = stage(candidates_of(docs, key, owner), "secrets")
-    values = found.select(F.struct("doc", "text_hash").alias("doc_id"), "owner", "found")
-    verdicts = ownership(values, options).where("verdict = 'live'").select("value_hash")
+    verdicts = ownership(found, options).where("verdict = 'live'").select("value_hash")
     each = found.select("doc", "text_hash", F.explode("found").alias("span")).select("doc", "text_hash", "span.*")
     live = each.join(verdicts, "value_hash", "left_semi").groupBy("doc", "text_hash")
     live = live.agg(F.collect_set(F.struct("start", "end")).alias("__live"))
