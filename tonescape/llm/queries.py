@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonescape.llm import (
+    byte_bpe,
     chosen_path,
     licence_scan,
     main_text,
@@ -116,3 +117,11 @@ def op9_secret_scan(spark, sf_dir):
 @query
 def op10_chosen_path(spark, sf_dir):
     return chosen_path.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
