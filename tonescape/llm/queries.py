@@ -16,6 +16,7 @@ from tonescape.llm import (
     qgram_match,
     quality_rules,
     secret_scan,
+    shared_ranking,
     suffix_ranks,
     super_kmers,
     toxicity,
@@ -119,6 +120,39 @@ def op10_chosen_path(spark, sf_dir):
     return chosen_path.join(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_shared_ranking(spark, sf_dir):
+    return shared_ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"""
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term"""
+
+ORACLE["op12_shared_ranking"] = f"""
+    with counts as (
+      select doc_id, term, count(*) tf from (select doc_id, {_TERMS} from documents) group by doc_id, term
+    ), lengths as (
+      select doc_id, cast(sum(tf) as bigint) n from counts group by doc_id
+    ), totals as (
+      select count(*) docs, cast(sum(n) as bigint) words from lengths
+    ), weights as (
+      select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) as bigint) w
+      from counts, totals group by term, docs
+    ), wanted as (
+      select distinct item_id, term from (select item_id, {_TERMS} from benchmark)
+    ), scored as (
+      select item_id, doc_id,
+             cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words)))) as bigint) score
+      from wanted join counts using (term) join weights using (term) join lengths using (doc_id), totals
+      group by item_id, doc_id
+    )
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) "rank",
+           doc_id, score
+    from scored where score > 0
+    qualify row_number() over (partition by item_id order by score desc, doc_id) <= 10"""
+
+
 @query
 def op13_byte_bpe(spark, sf_dir):
     import public_tokenizers
