@@ -12,6 +12,7 @@ from tonescape.llm import (
     chosen_path,
     licence_scan,
     main_text,
+    part_codes,
     pattern_packing,
     qgram_match,
     quality_rules,
@@ -120,6 +121,63 @@ def op10_chosen_path(spark, sf_dir):
     return chosen_path.join(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_part_codes(spark, sf_dir):
+    return part_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _lloyd_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """The contract in SQL: assignment and means as one pair of relations per round."""
+    steps = [
+        """kept as (
+          select row_number() over (order by vec_id) id, vec_id, label,
+                 list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) v
+          from embeddings
+          where embedding is not null
+            and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+        )""",
+        f"""parts as (
+          select id, vec_id, label, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] x
+          from kept, range({parts}) t(p)
+        )""",
+        f"book0 as (select p, id - 1 e, x c from parts where id <= {entries})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""near{r} as (
+              select id, p, min(d) d, arg_min(e, d * {entries} + e) e from (
+                select id, parts.p, e,
+                       cast(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint) d
+                from parts join book{r} b on parts.p = b.p)
+              group by id, p
+            )"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""book{r + 1} as (
+                  select p, e, coalesce(list(m order by i), any_value(c)) c
+                  from book{r} left join (
+                    select p, e, i, cast(floor(sum(x[i]) / count(*)) as bigint) m
+                    from near{r} join parts using (id, p), range(1, len(x) + 1) t(i) group by p, e, i
+                  ) using (p, e) group by p, e
+                )"""
+            )
+    steps.append(
+        f"""books as (
+          select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) codebooks_sha256 from book{rounds}
+        ), coded as (
+          select id, cast(sum(d) as bigint) error, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' order by p) code
+          from near{rounds} group by id
+        )"""
+    )
+    return f"""with {", ".join(steps)}
+        select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) label_error, codebooks_sha256
+        from kept join coded using (id), books"""
+
+
+ORACLE["op11_part_codes"] = _lloyd_sql()
+
+
 @query
 def op12_shared_ranking(spark, sf_dir):
     return shared_ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
