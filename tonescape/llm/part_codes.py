@@ -393,7 +393,8 @@ def assembled(coded: DataFrame, parts: int) -> DataFrame:
 
 def with_label_error(codes: DataFrame) -> DataFrame:
     """``label_error``: the errors of all vectors with the row's label, those without one together."""
-    sums = codes.groupBy("label").agg(F.sum("error").alias("label_error"))
+    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(int(_LONG.max)).cast("decimal(38,0)"))
+    sums = codes.groupBy("label").agg(total.cast("long").alias("label_error"))
     sums = Stored(sums.withColumn("name", F.coalesce(F.col("label").cast("string"), F.lit(""))).drop("label"), "labels")
     named = codes.withColumn("name", F.coalesce(F.col("label").cast("string"), F.lit("")))
     if sums.frame.count() <= BROADCAST_LABELS:
