@@ -723,37 +723,48 @@ def topic_argmax(spark, sf_dir):
     )
 
 
-@query()
+@query("select topic_id, place, term, weight from v_lda_top")
 def lda_topics(spark, sf_dir):
     """Weights of the top terms of every fitted topic."""
-    model = v.model(spark, sf_dir)
-    words = F.array(*[F.lit(w) for w in model.vocab])
-    found = model.lda.describeTopics(10)
-    return found.select(
-        F.col("topic").alias("topic_id"),
-        F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "t"),
-    ).select(
-        "topic_id",
-        "place",
-        F.get(words, F.col("t.termIndices")).alias("term"),
-        F.col("t.termWeights").alias("weight"),
-    )
+    return v.model(spark, sf_dir).top_terms(spark)
+
+
+@query(
+    """select more, more = 0 fitted, cast(case when more = 0 then 2 else 0 end as integer) topics
+       from (select unnest([0, 1]) more) where (select count(*) from documents) > 0"""
+)
+def topic_minimum(spark, sf_dir):
+    """No model where one text more is asked for than there are."""
+    docs, rows = v.documents(spark, sf_dir), []
+    n = docs.count()
+    for more in (0, 1):
+        options = topics.TopicOptions(n_topics=2, max_features=50, passes=1, min_texts=n + more)
+        model = topics.fit_topics(docs, options)
+        rows.append((more, model is not None, 0 if model is None else model.n_topics))
+    return spark.createDataFrame(rows, "more int, fitted boolean, topics int")
 
 
-@query()
+@query("select topic_id, place, term keyword from v_lda_top")
 def topic_keywords(spark, sf_dir):
     found = v.model(spark, sf_dir).topics(spark)
     return found.select("topic_id", F.posexplode("topic_keywords").alias("place", "keyword"))
 
 
-@query()
+@query(
+    """select doc_id, topic_id, list_max(shares) topic_confidence, array_to_string(topic_keywords, ',') topic_keywords
+       from (select doc_id, shares, cast(list_position(shares, list_max(shares)) - 1 as integer) topic_id
+             from v_lda_shares) join v_lda_topics using (topic_id)"""
+)
 def topic_assign(spark, sf_dir):
     assigned = v.model(spark, sf_dir).assign(v.documents(spark, sf_dir))
     keywords = F.concat_ws(",", "topic_keywords").alias("topic_keywords")
     return assigned.select("doc_id", "topic_id", "topic_confidence", keywords)
 
 
-@query()
+@query(
+    f"""select topic_id, {_TOPIC_NAME} topic_name, array_to_string(topic_keywords, ',') topic_keywords,
+               timestamp '2024-03-01 12:00:00' created_at, 'run' run_id from v_lda_topics"""
+)
 def topics_dimension(spark, sf_dir):
     found = v.model(spark, sf_dir).topics(spark, _RUN, "run")
     keywords = F.concat_ws(",", "topic_keywords").alias("topic_keywords")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from fixtures.views import CUES
+from fixtures.views import CUES, STOP_WORDS
 from tonescape.functions.sentiment import (
     BOOST_DOWN,
     BOOST_UP,
@@ -286,6 +286,77 @@ VIEWS |= scoring("v_feed_scores", "v_feed_texts")
 VIEWS |= scoring("v_doc_scores", "v_doc_texts")
 VIEWS |= scoring("v_cued_scores", "v_cued_texts")
 
+
+
+def lda(topics: int = 5, terms: int = 1000, passes: int = 10, rounds: int = 3, seed: int = 30) -> dict[str, str]:
+    """The topic-term matrix over documents: one view per round; the last is ``v_lda_matrix``.
+
+    Fixed values, stated apart from the engine: the unit of a million, the priors of 0.1 for
+    topics and 0.01 for terms, and the uneven first counts.
+    """
+    each = range(topics)
+    counts = ", ".join(f"cast((w * {i + 1} * 7919 + {seed} * 104729) % 1009 + 100 as bigint) c{i}" for i in each)
+    unit, share, term = "1000000.0::double", 100_000, 10_000
+    found = {
+        "v_lda_terms": f"""
+            select term, row_number() over (order by term) w from (
+              select w term, count(*) n
+              from (select unnest(regexp_extract_all(lower(text), '{TERM}')) w from documents)
+              where w not in ({", ".join(map(lit, STOP_WORDS))})
+              group by w order by n desc, w limit {terms})""",
+        "v_lda_n": f"""
+            select doc_id d, w, cast(count(*) as double) n
+            from (select doc_id, unnest(regexp_extract_all(lower(text), '{TERM}')) term from documents)
+                 join v_lda_terms using (term)
+            group by doc_id, w""",
+        "v_lda_m0": f"select w, {counts} from v_lda_terms",
+        "v_lda_s": "select doc_id d, " + ", ".join(f"1.0::double / {topics} t{i}" for i in each) + " from documents",
+    }
+    sums = ", ".join(f"cast(sum(x{i}) as bigint) c{i}" for i in each)
+    known = ", ".join(f"coalesce(c{i}, 0) c{i}" for i in each)
+
+    def shares(parts: str) -> str:
+        total = " + ".join(f"coalesce(c{i}, 0)" for i in each)
+        rows = ", ".join(
+            f"cast(coalesce(c{i}, 0) + {share} as double) / cast({total} + {topics * share} as double) t{i}" for i in each
+        )
+        return f"""select doc_id d, {rows} from documents
+            left join (select d, {sums} from {parts} group by d) on d = doc_id"""
+
+    for step in range(passes + 1):
+        weights = ", ".join(
+            f"cast(c{i} + {term} as double) / cast(sum(c{i}) over () + {term} * count(*) over () as double) p{i}" for i in each
+        )
+        found[f"v_lda_p{step}"] = f"select w, {weights} from v_lda_m{step}"
+        before = "v_lda_s"
+        for turn in range(1, rounds + 1):
+            name = f"v_lda_x{step}_{turn}"
+            likely = ", ".join(f"t{i} * p{i} q{i}" for i in each)
+            whole = " + ".join(f"q{i}" for i in each)
+            parts = ", ".join(f"cast(floor(n * {unit} * (q{i} / ({whole})) + 0.5::double) as bigint) x{i}" for i in each)
+            found[name] = f"""select d, w, {parts}
+                from (select d, w, n, {likely} from v_lda_n join v_lda_p{step} using (w) join {before} using (d))"""
+            before = f"v_lda_t{step}_{turn}"
+            found[before] = shares(name)
+        if step < passes:
+            found[f"v_lda_m{step + 1}"] = f"""
+                select w, {known} from v_lda_terms left join (
+                  select w, {sums} from v_lda_x{step}_{rounds} group by w) using (w)"""
+    best = " union all ".join(
+        f"""select {i} topic_id, cast(row_number() over (order by c{i} desc, w) - 1 as integer) place, term, p{i} weight
+            from v_lda_m{passes} join v_lda_p{passes} using (w) join v_lda_terms using (w)
+            qualify row_number() over (order by c{i} desc, w) <= 10"""
+        for i in each
+    )
+    found["v_lda_top"] = f"select cast(topic_id as integer) topic_id, place, term, weight from ({best})"
+    found["v_lda_topics"] = "select topic_id, list(term order by place) topic_keywords from v_lda_top group by topic_id"
+    found["v_lda_shares"] = f"""
+        select d doc_id, [{", ".join(f"t{i}" for i in each)}] shares from v_lda_t{passes}_{rounds}"""
+    return found
+
+
+VIEWS |= lda()
+
 _NAME = re.compile(r"\bv_[a-z0-9_]+")
 
 

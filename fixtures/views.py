@@ -28,6 +28,10 @@ from tonescape.sources.posts import scan_posts
 H1 = Profile("h1")
 ANCHOR = Profile("a")
 
+# Words that say nothing about a topic.
+STOP_WORDS = "the of and to in is it that for with as was are be by on at from this but not have they".split()
+TOPICS = TopicOptions(stop_words=STOP_WORDS)
+
 _cache: dict[tuple, object] = {}
 
 
@@ -200,7 +204,7 @@ def model(spark, sf_dir) -> TopicModel:
         spark,
         "model",
         sf_dir,
-        lambda: fit_topics(documents(spark, sf_dir), TopicOptions()),
+        lambda: fit_topics(documents(spark, sf_dir), TOPICS),
     )
 
 

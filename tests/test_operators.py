@@ -1,6 +1,7 @@
 """Ties, nulls, duplicates and skew on hand-made rows."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import Row
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tonescape.functions import scalar
 from tonescape.functions.sentiment import Lexicon
-from tonescape.operators import enrich, graph, report, topics, unify
+from tonescape.operators import enrich, fold_in, graph, report, topics, unify
 from tonescape.operators.lookup import hot_keys, lookup_join
 from tonescape.operators.numbering import number_rows
 from tonescape.operators.ranking import first_per_group
@@ -223,7 +224,69 @@ def test_fit_guard_and_assignment(spark):
     again = topics.fit_topics(docs, options)
     assert again.keywords == model.keywords
     plan = model.assign(probe)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Python" not in plan
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_fit_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    options = topics.TopicOptions(max_features=200, passes=3)
+    models = [topics.fit_topics(d, options) for d in (docs.coalesce(1), docs.repartition(13), docs.orderBy("text"))]
+    for model in models[1:]:
+        assert (model.matrix.counts == models[0].matrix.counts).all()
+    assigned = [{r.doc_id: r.s for r in fold_in.term_vectors(d, models[0].vocab).select(
+        "doc_id", fold_in.shares(models[0].matrix).alias("s")).collect()} for d in (docs.coalesce(1), docs.repartition(7))]
+    assert assigned[0] == assigned[1]
+    assert all(abs(sum(s) - 1) < 1e-9 and len(s) == 5 for s in assigned[0].values())
+
+
+def test_held_out_perplexity_falls(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    learnt, held = (docs.filter(F.col("doc_id") % 5 == 0 if x else F.col("doc_id") % 5 != 0) for x in (0, 1))
+    rows = topics.vocabulary(topics.token_counts(learnt), 500).collect()
+    vocab = sorted(r.term for r in rows)
+    learnt, held = (fold_in.term_vectors(d, vocab).select("_places", "_times").cache() for d in (learnt, held))
+    priors, found = fold_in.Priors(), []
+    for passes in (0, 1, 2, 4, 8):
+        matrix = fold_in.fit(learnt, len(vocab), 5, passes, 30, priors)
+        total, words = fold_in.log_likelihood(held, matrix)
+        found.append(-total / words)
+    assert found == sorted(found, reverse=True) and found[-1] < found[0] - 0.1
+
+
+def test_fold_in_by_hand(spark):
+    """Two topics, three terms: the parts of each round in plain arithmetic."""
+    matrix = fold_in.TopicMatrix([[8_000_000, 1_000_000, 0], [0, 1_000_000, 5_000_000]], fold_in.Priors(rounds=2))
+    weights = [[(c + 10_000) / (sum(row) + 30_000) for c in row] for row in matrix.counts.tolist()]
+    counts = {0: 3, 1: 1}
+    shares = [0.5, 0.5]
+    for _ in range(2):
+        sums = [0, 0]
+        for term, n in counts.items():
+            likely = [shares[k] * weights[k][term] for k in (0, 1)]
+            for k in (0, 1):
+                sums[k] += math.floor(n * 1e6 * (likely[k] / (likely[0] + likely[1])) + 0.5)
+        shares = [(x + 100_000) / (sum(sums) + 200_000) for x in sums]
+    docs = spark.createDataFrame([("a a b a",), (None,), ("",), ("zz",)], "text string")
+    docs = docs.withColumn("text", F.replace("text", F.lit("a"), F.lit("aa"))).withColumn("text", F.replace("text", F.lit("b"), F.lit("bb")))
+    got = fold_in.term_vectors(docs, ["aa", "bb", "cc"]).select(fold_in.shares(matrix).alias("s")).collect()
+    assert [r.s for r in got] == [shares, [0.5, 0.5], [0.5, 0.5], [0.5, 0.5]]
+
+
+def test_online_method(spark):
+    texts = [f"apple banana cherry {i}" for i in range(30)] + [f"dog cat bird {i}" for i in range(30)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = topics.fit_topics(docs, topics.TopicOptions(n_topics=2, method="online"))
+    assert len(model.keywords) == 2 and model.assign(docs).count() == 60
+    with pytest.raises(ValueError):
+        topics.fit_topics(docs, topics.TopicOptions(method="other"))
+
+
+def test_topics_part_texts_that_share_no_word(spark):
+    texts = [f"apple banana cherry {i}" for i in range(30)] + [f"dog cat bird {i}" for i in range(30)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = topics.fit_topics(docs, topics.TopicOptions(n_topics=2))
+    found = {(r.text.split()[0], r.topic_id) for r in model.assign(docs).collect()}
+    assert len(found) == 2 and len({topic for _, topic in found}) == 2
 
 
 @pytest.mark.parametrize("share", [0.05, 0.2, 0.3, 1.0])

@@ -1,4 +1,9 @@
-"""Topics of a corpus: vocabulary, counts, online LDA, assignment."""
+"""Topics of a corpus: vocabulary, counts, LDA, assignment.
+
+A model is a topic-term matrix. It is fitted either by passes over all texts that give the
+same matrix to the last digit on every cluster (``exact``), or by Spark's online LDA on drawn
+shares of them (``online``). Texts are folded into the matrix in the same way for both.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +11,16 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+from pyspark.ml.clustering import LDA
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonescape import schemas
 from tonescape.functions.scalar import argmax, ntz, topic_name
 from tonescape.functions.text import terms
+from tonescape.operators import fold_in
 from tonescape.session import option_table, stage
 
 @dataclass(frozen=True)
@@ -30,6 +36,9 @@ class TopicOptions:
     share: float = 0.2
     stop_words: Sequence[str] | None = None
     min_texts: int = 11
+    #: ``exact`` or ``online``; the offset, the decay and the share count for ``online`` only.
+    method: str = "exact"
+    priors: fold_in.Priors = fold_in.Priors()
 
     @property
     def iterations(self) -> int:
@@ -83,9 +92,13 @@ class TopicModel:
     """A fitted model: assigns topics row by row, without a join or a shuffle."""
 
     def __init__(
-        self, vocab: list[str], lda: LDAModel, keywords: list[list[str]], options: TopicOptions
+        self,
+        vocab: list[str],
+        matrix: fold_in.TopicMatrix | None,
+        keywords: list[list[str]],
+        options: TopicOptions | None,
     ):
-        self.vocab, self.lda, self.keywords, self.options = vocab, lda, keywords, options
+        self.vocab, self.matrix, self.keywords, self.options = vocab, matrix, keywords, options
 
     @property
     def n_topics(self) -> int:
@@ -99,22 +112,26 @@ class TopicModel:
 
     def assign(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """Adds ``topic_id``, ``topic_confidence`` and ``topic_keywords`` to every row."""
-        k = self.n_topics
-        vectors = _vectors(docs, self.vocab, text)
-        shares = vector_to_array(F.col("_topics"))
         # A text without known terms has all topics alike: the first one is taken.
-        shares = F.when(F.array_max(shares) > 0, shares).otherwise(
-            F.array(*[F.lit(1.0 / k)] * k)
-        )
         return (
-            self.lda.transform(vectors)
-            .withColumn("_shares", shares)
+            fold_in.term_vectors(docs, self.vocab, text)
+            .withColumn("_shares", fold_in.shares(self.matrix))
             .withColumn("topic_id", argmax(F.col("_shares")))
             .withColumn("topic_confidence", F.array_max("_shares"))
             .withColumn("topic_keywords", self.keywords_of(F.col("topic_id")))
-            .drop("_terms", "_counts", "_topics", "_shares")
+            .drop("_places", "_times", "_shares")
         )
 
+    def top_terms(self, spark: SparkSession, n: int = 10) -> DataFrame:
+        """topic_id, place, term and weight (its share of the topic) of the heaviest terms."""
+        weights = self.matrix.weights()
+        rows = [
+            (topic, place, self.vocab[term], float(weights[topic, term]))
+            for topic, best in enumerate(self.matrix.top(n))
+            for place, term in enumerate(best)
+        ]
+        return spark.createDataFrame(rows, "topic_id int, place int, term string, weight double")
+
     def topics(self, spark: SparkSession, created_at=None, run_id: str | None = None) -> DataFrame:
         """The topic dimension: one row per topic."""
         rows = [(i, words) for i, words in enumerate(self.keywords)]
@@ -127,46 +144,49 @@ class TopicModel:
         )
 
 
-def _vectors(docs: DataFrame, vocab: list[str], text: str) -> DataFrame:
-    counter = CountVectorizerModel.from_vocabulary(vocab, inputCol="_terms", outputCol="_counts")
-    texts = docs.withColumn(
-        "_terms", F.coalesce(terms(F.col(text)), F.array().cast("array<string>"))
-    )
-    return counter.transform(texts)
+def _online(vectors: DataFrame, options: TopicOptions) -> fold_in.TopicMatrix:
+    """Spark's online LDA; its topics as counts of the same unit."""
+    fitted = LDA(
+        k=options.n_topics,
+        optimizer="online",
+        seed=options.seed,
+        learningOffset=options.learning_offset,
+        learningDecay=options.learning_decay,
+        optimizeDocConcentration=False,
+        subsamplingRate=options.share,
+        maxIter=options.iterations,
+        featuresCol="_vector",
+    ).fit(vectors)
+    weights = fitted.topicsMatrix().toArray().T
+    return fold_in.TopicMatrix(np.floor(weights * fold_in.UNIT + 0.5), options.priors)
 
 
 def fit_topics(
     docs: DataFrame, options: TopicOptions | None = None, text: str = "text"
 ) -> TopicModel | None:
-    """Fit the model; ``None`` when there are too few texts.
+    """Fit the model; ``None`` when there are too few texts, or no term in them.
 
-    Only the vocabulary and the keywords come to the driver, both limited by options.
-    The counts are stored once, because every iteration reads them.
+    Only the vocabulary and topics times terms come to the driver, both limited by options.
+    The counts are stored once, because every pass reads them.
     """
     options = options or TopicOptions()
+    if options.method not in ("exact", "online"):
+        raise ValueError(f"unknown method: {options.method!r}")
     spark = docs.sparkSession
+    if docs.select(text).limit(options.min_texts).count() < options.min_texts:
+        return None
     counts = drop_stop_words(token_counts(docs, text), stop_word_list(options, spark))
     rows = vocabulary(counts, options.max_features).select("term").collect()
     vocab = sorted(r.term for r in rows)
-    vectors = stage(_vectors(docs.select(text), vocab or [""], text).select("_counts"), "counts")
-    n_texts = vectors.count()
-    if n_texts < options.min_texts or not vocab:
+    if not vocab:
         return None
-    lda = LDA(
-        k=options.n_topics,
-        optimizer="online",
-        seed=options.seed,
-        learningOffset=options.learning_offset,
-        learningDecay=options.learning_decay,
-        optimizeDocConcentration=False,
-        subsamplingRate=options.share,
-        maxIter=options.iterations,
-        featuresCol="_counts",
-        topicDistributionCol="_topics",
-    ).fit(vectors)
-    found = lda.describeTopics(options.n_keywords).orderBy("topic").collect()
-    keywords = [[vocab[i] for i in row.termIndices] for row in found]
-    return TopicModel(vocab, lda, keywords, options)
+    if options.method == "online":
+        matrix = _online(stage(fold_in.count_vectors(docs.select(text), vocab, text).drop(text), "counts"), options)
+    else:
+        vectors = stage(fold_in.term_vectors(docs.select(text), vocab, text).drop(text), "counts")
+        matrix = fold_in.fit(vectors, len(vocab), options.n_topics, options.passes, options.seed, options.priors)
+    keywords = [[vocab[i] for i in best] for best in matrix.top(options.n_keywords)]
+    return TopicModel(vocab, matrix, keywords, options)
 
 
 def topic_names(topics: DataFrame) -> DataFrame:
