@@ -2,9 +2,11 @@
 
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tonescape.functions import sentiment_batch
 from tonescape.functions.sentiment import Lexicon, Rules, score, tokens
 from tonescape.sources.lexicon import read_lexicon
 
@@ -148,4 +150,41 @@ def test_scoring_does_not_shuffle(spark):
     frame = spark.range(10).select(F.lit("good").alias("text"))
     frame = frame.select(score("text", Lexicon(WORDS)))
     plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Python" not in plan
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_batches_do_not_change_scores(spark, scored, monkeypatch):
+    """Short runs, one partition per text and a small token table give the same scores."""
+    texts = [text for text, _ in VALENCES] + ["", None, "they can cut the mustard", "the kind of good"] * 3
+    whole = scored(*texts)
+    kernel = Lexicon(WORDS).kernel()
+    monkeypatch.setattr(sentiment_batch, "RUN_CHARS", 5)
+    monkeypatch.setattr(sentiment_batch, "KEPT_TOKENS", 3)
+    parts = sentiment_batch.score_column(kernel, pa.array(texts, pa.string())).to_pylist()
+    assert [tuple(p[n] for n in ("compound", "pos", "neu", "neg")) for p in parts] == whole
+    assert len(sentiment_batch.score_column(kernel, pa.array([], pa.string()))) == 0
+
+
+def test_rules_stop_at_the_ends_of_texts(scored):
+    """A word of the text before or after is not a neighbour."""
+    assert scored("good", "xx not", "good", "very", "good of", "kind", "of good")[2] == scored("good")[0]
+    assert scored("kind", "of")[0][0] == compound(2.4)
+    assert scored("xx but", "good")[1][0] == compound(1.9)
+    assert scored("cut the", "mustard")[1][0] == compound(0.5)
+
+
+PHRASES = [
+    ("this is the bomb good", 3.0),
+    ("this is the BOMB good", 1.9),
+    ("the bomb good", 1.9),  # fewer than three words before it
+    ("oh yeah right good", -2.0),
+    ("xx kind of good", 1.9 - 0.293),
+    ("xx sort of xx good", 1.9 - 0.293),
+    ("xx yy good ass", 1.9),
+    ("xx yy zz bad ass", 1.5),
+]
+
+
+def test_phrases_of_words(scored):
+    for (text, value), got in zip(PHRASES, scored(*[text for text, _ in PHRASES])):
+        assert got[0] == pytest.approx(compound(value), abs=2e-4), text

@@ -1,16 +1,12 @@
-"""Rule-based sentiment of a text as one column expression.
+"""Rule-based sentiment of a text as one column.
 
 The method is the published one for short social texts (Hutto and Gilbert, ICWSM
 2014): a valence lexicon, adjusted by up to three preceding tokens (boosters and
 negations), emphasis by capitals and punctuation, and a contrast word.
 
-The expression is narrow: it needs no row key, no shuffle and no second pass over
-the texts, so scoring a feed costs one scan of it. The lexicon travels with the
-task as a literal. A map lookup scans its keys, so the literal is split by token
-hash into many tiny maps; each token then costs one hash and one short lookup.
-
-The expression is written as SQL text, because it has several hundred nodes: one parse
-is far quicker than building them one by one from Python.
+The column is narrow: it needs no row key, no shuffle and no second pass over the texts, so
+scoring a feed costs one scan of it. The rules run on batches of texts (``sentiment_batch``);
+the lexicon travels with the task, which is why its size is checked.
 
 All sums are integers (millionths of a valence point), so a score does not depend
 on the order of additions.
@@ -18,16 +14,17 @@ on the order of additions.
 
 from __future__ import annotations
 
-import base64
+import hashlib
 import json
 import re
-import zlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonescape.functions.sentiment_batch import Kernel, score_column
 from tonescape.functions.text import SPACE
 
 # Fixed values of the published method.
@@ -112,14 +109,19 @@ class Lexicon:
             entries.setdefault(token, {})["b"] = float(boost)
         for token in self.rules.negations:
             entries.setdefault(token, {})["n"] = True
-        # Words that end a phrase: phrases are only looked up near one of them.
-        for phrase in [*self.rules.idioms, *self.rules.boosters]:
-            if " " in phrase:
-                entries.setdefault(phrase.split(" ")[-1].lower(), {})["p"] = True
         if len(entries) > MAX_ENTRIES:
             raise ValueError(f"a lexicon may have at most {MAX_ENTRIES} entries")
         self.entries = entries
-        self._lookup = self._literal()
+        stated = [sorted(part.items()) for part in (entries, self.rules.boosters, self.rules.idioms)]
+        self._name = hashlib.sha256(json.dumps(stated).encode()).hexdigest()
+
+    def kernel(self) -> Kernel:
+        """The process's kernel for this lexicon."""
+        if self._name not in _kernels:
+            _kernels[self._name] = Kernel(
+                self.entries, self.rules.boosters, self.rules.idioms, (_EDGED, _ENDS), _CONSTANTS
+            )
+        return _kernels[self._name]
 
     @classmethod
     def from_table(cls, table: DataFrame, rules: Rules | None = None) -> Lexicon:
@@ -129,195 +131,28 @@ class Lexicon:
             raise ValueError(f"a lexicon may have at most {MAX_ENTRIES} entries")
         return cls({r.token: r.valence for r in rows}, rules)
 
-    def _literal(self) -> tuple[str, int]:
-        """The entries as one literal: an array of small maps, chosen by token hash."""
-        size = 1 << max(4, len(self.entries).bit_length())
-        slots: list[dict] = [{} for _ in range(size)]
-        for token, entry in self.entries.items():
-            slots[zlib.crc32(token.encode()) % size][token] = entry
-        text = base64.b64encode(json.dumps(slots).encode()).decode()
-        entry = "struct<v:double,b:double,n:boolean,p:boolean>"
-        literal = f"from_json(cast(unbase64('{text}') as string), 'array<map<string,{entry}>>')"
-        return literal, size
-
-    def entry(self, token: str) -> str:
-        literal, size = self._lookup
-        return f"get({literal}, cast(pmod(crc32(cast({token} as binary)), {size}) as int))[{token}]"
-
-
-def _quoted(text: str) -> str:
-    """A SQL string without escapes, whatever the parser settings are."""
-    return "concat(" + ", char(39), ".join(f"'{part}'" for part in text.split("'")) + ")"
 
+_kernels: dict[str, Kernel] = {}
 
-def _number(value: float) -> str:
-    return f"cast({float(value)!r} as double)"
-
-
-def _let(name: str, value: str, body: str) -> str:
-    """Evaluate ``value`` once and use it in ``body`` by name."""
-    return f"transform(array({value}), {name} -> {body})[0]"
-
+_CONSTANTS = {
+    "boost": BOOST, "caps": CAPS, "negate": NEGATE, "but_before": BUT_BEFORE, "but_after": BUT_AFTER,
+    "damping": DISTANCE_DAMPING, "normalizer": NORMALIZER, "exclamation": EXCLAMATION,
+    "exclamation_max": EXCLAMATION_MAX, "question": QUESTION, "question_max": QUESTION_MAX,
+}
 
 _MARKS = "|".join(re.escape(m) for m in sorted(EDGE_MARKS, key=len, reverse=True))
-_MARKS = _MARKS.replace("'", r"\x27")
-_EDGED = rf"^(?:([^\p{{Punct}}]{{2,}}+)(?:{_MARKS})|(?:{_MARKS})([^\p{{Punct}}]{{2,}}+))$"
-_ENDS = ", ".join(_quoted(m) for m in sorted({m[-1] for m in EDGE_MARKS}))
+_PUNCT = r"!-/:-@\[-`{-~"
+_EDGED = rf"^(?:([^{_PUNCT}]{{2,}})(?:{_MARKS})|(?:{_MARKS})([^{_PUNCT}]{{2,}}))$"
+_ENDS = frozenset(m[-1] for m in EDGE_MARKS)
 
 
-def _tokens(text: str) -> str:
-    """Tokens in order and in their own case; single characters are dropped.
+def tokens(text: str) -> Column:
+    """Tokens of the method in order and in their own case, for a column name or a SQL expression.
 
-    One mark is cut from either end of a word; the pattern runs only where it may match.
+    Single characters are dropped, and one mark is cut from either end of a word.
     """
-    return f"""
-        transform(
-          filter(split({text}, r'{SPACE}+'), t -> length(t) > 1),
-          t -> if(substring(t, -1, 1) in ({_ENDS}) or substring(t, 1, 1) in ({_ENDS}),
-                  regexp_replace(t, r'{_EDGED}', '$1$2'), t))"""
-
-
-def _at(array: str, offset: int) -> str:
-    return f"get({array}, i + ({offset}))"
-
-
-def _is_caps(token: str) -> str:
-    return f"(upper({token}) = {token} and lower({token}) <> {token})"
-
-
-def _says(offset: int, *words: str, array: str = "raw") -> str:
-    listed = ", ".join(f"'{w}'" for w in words)
-    return f"coalesce({_at(array, offset)} in ({listed}), false)"
-
-
-def _negates(offset: int) -> str:
-    return (
-        f"(coalesce({_at('info', offset)}.n, false)"
-        f" or coalesce(contains({_at('low', offset)}, concat('n', char(39), 't')), false))"
-    )
-
-
-def _caps_shift(offset: int, valence: str) -> str:
-    """Emphasis by capitals, toward the sign of the valence."""
-    toward = f"if({valence} > 0, {_number(CAPS)}, {_number(-CAPS)})"
-    return f"if(mixed and {_is_caps(_at('raw', offset))}, {toward}, {_number(0)})"
-
-
-def _never_factor(distance: int) -> str:
-    """Negation, softened or turned around by "never so" and "never this"."""
-    plain = f"if({_negates(-distance)}, {_number(NEGATE)}, {_number(1)})"
-    if distance == 1:
-        return plain
-    near = _says(-1, "so", "this")
-    if distance == 2:
-        return f"if({_says(-2, 'never')} and {near}, {_number(1.5)}, {plain})"
-    far = f"({_says(-3, 'never')} and {_says(-2, 'so', 'this')})"
-    return f"if({far} or {near}, {_number(1.25)}, {plain})"
-
-
-def _phrase(table: Mapping[str, float], *offsets: int) -> str:
-    """Value of the phrase at these places; null when unknown or a place is missing."""
-    known = {k: v for k, v in table.items() if k.count(" ") == len(offsets) - 1}
-    if not known:
-        return "cast(null as double)"
-    pairs = ", ".join(f"{_quoted(k)}, {_number(v)}" for k, v in known.items())
-    words = ", ' ', ".join(_at("raw", o) for o in offsets)
-    return f"try_element_at(map({pairs}), concat({words}))"
-
-
-def _idiom_value(rules: Rules, valence: str) -> str:
-    around = [(0, 1, 2), (0, 1), (-1, 0), (-2, -1, 0), (-2, -1), (-3, -2, -1), (-3, -2)]
-    idioms = ", ".join(_phrase(rules.idioms, *place) for place in around)
-    value = f"coalesce({idioms}, {valence})"
-    boosters = ", ".join(_phrase(rules.boosters, *place) for place in [(-3, -2), (-2, -1)])
-    return f"if(coalesce({boosters}) is not null, {value} - {_number(BOOST)}, {value})"
-
-
-def _step(rules: Rules, valence: str, distance: int) -> str:
-    """Effect of the token ``distance`` places before, when it carries no valence itself."""
-    before = _at("info", -distance)
-    boost = f"if({valence} < 0, -{before}.b, {before}.b)"
-    shift = (
-        f"coalesce(({boost} + {_caps_shift(-distance, valence)})"
-        f" * {_number(DISTANCE_DAMPING[distance - 1])}, {_number(0)})"
-    )
-    changed = f"({valence} + {shift}) * {_never_factor(distance)}"
-    if distance == 3:
-        near = ", ".join(f"{_at('info', o)}.p" for o in (0, -1, -2, 1, 2))
-        phrases = _let("plain", changed, _idiom_value(rules, "plain"))
-        changed = f"if(coalesce({near}, false), {phrases}, {changed})"
-    return f"if(i >= {distance} and {before}.v is null, {changed}, {valence})"
-
-
-def _least_factor() -> str:
-    least = f"({_says(-1, 'least', array='low')} and {_at('info', -1)}.v is null)"
-    excused = f"(i > 1 and {_says(-2, 'at', 'very', array='low')})"
-    return f"if({least} and not {excused}, {_number(NEGATE)}, {_number(1)})"
-
-
-_CONTRAST_FACTOR = f"""
-    case when but < 0 or i = but then {_number(1)}
-         when i < but then {_number(BUT_BEFORE)} else {_number(BUT_AFTER)} end"""
-
-
-def _valence(rules: Rules) -> str:
-    """Adjusted valence, in millionths, of the lexicon token at position ``i``."""
-    base = f"{_at('info', 0)}.v"
-    chain = _let(
-        "v0",
-        _let("v", base, f"v + {_caps_shift(0, 'v')}"),
-        _let(
-            "v1",
-            _step(rules, "v0", 1),
-            _let("v2", _step(rules, "v1", 2), _step(rules, "v2", 3)),
-        ),
-    )
-    return (
-        f"floor({chain} * {_least_factor()} * ({_CONTRAST_FACTOR}) * 1000000 + {_number(0.5)})"
-    )
-
-
-def _emphasis(text: str) -> str:
-    """What exclamation and question marks add, in millionths."""
-    shouts, asks = (f"(length({text}) - length(replace({text}, '{m}', '')))" for m in "!?")
-    return f"""cast(
-        least({shouts}, {EXCLAMATION_MAX}) * {round(EXCLAMATION * 1_000_000)}
-        + case when {asks} <= 1 then 0 when {asks} <= 3
-               then {asks} * {round(QUESTION * 1_000_000)}
-               else {round(QUESTION_MAX * 1_000_000)} end as bigint)"""
-
-
-def _rounded(value: str, digits: int) -> str:
-    return f"(floor({value} * {10**digits} + {_number(0.5)}) / {_number(10**digits)})"
-
-
-def _sum(values: str, value: str) -> str:
-    return f"aggregate({values}, 0L, (a, m) -> a + {value})"
-
-
-def _scores() -> str:
-    """Four scores from the integer sums of one text, ``r``."""
-    total = "r.total + case when r.total > 0 then r.amp when r.total < 0 then -r.amp else 0L end"
-    pos = "r.pos + if(r.pos > r.neg, r.amp, 0L)"
-    neg = "r.neg + if(r.pos < r.neg, r.amp, 0L)"
-    compound = (
-        f"greatest({_number(-1)}, least({_number(1)},"
-        f" s / sqrt(s * s + {_number(NORMALIZER)})))"
-    )
-    whole = "cast(q.pos + q.neg + q.neu as double)"
-    shares = f"""named_struct(
-        'compound', {_let("s", f"q.total / {_number(1_000_000)}", _rounded(compound, 4))},
-        'pos', {_rounded(f"(q.pos / {whole})", 3)},
-        'neu', {_rounded(f"(q.neu / {whole})", 3)},
-        'neg', {_rounded(f"(q.neg / {whole})", 3)})"""
-    parts = f"""named_struct(
-        'total', {total}, 'pos', {pos}, 'neg', {neg}, 'neu', r.neutral * 1000000L)"""
-    return _let("q", parts, shares)
-
-
-def tokens(text: str) -> Column:
-    """Tokens of the method, for a column name or a SQL expression."""
-    return F.expr(_tokens(text))
+    words = F.filter(F.split(F.expr(text), f"{SPACE}+"), lambda t: F.length(t) > 1)
+    return F.transform(words, lambda t: F.regexp_replace(t, _EDGED, "$1$2"))
 
 
 def score(text: str, lexicon: Lexicon) -> Column:
@@ -325,29 +160,9 @@ def score(text: str, lexicon: Lexicon) -> Column:
 
     ``text`` is a column name or a SQL expression.
     """
-    sums = f"""named_struct(
-        'total', {_sum("vals", "m")},
-        'pos', {_sum("vals", "if(m > 0, m + 1000000L, 0L)")},
-        'neg', {_sum("vals", "if(m < 0, 1000000L - m, 0L)")},
-        'neutral', cast(size(low) - size(filter(vals, m -> m <> 0)) as bigint),
-        'amp', doc.amp)"""
-    places = f"""filter(
-        transform(info, (e, i) -> i),
-        i -> {_at('info', 0)}.v is not null and {_at('info', 0)}.b is null
-             and not ({_says(0, 'kind', array='low')} and {_says(1, 'of', array='low')}))"""
-    values = f"transform({places}, i -> {_valence(lexicon.rules)})"
-    measured = _let("r", _let("vals", values, sums), _scores())
-    mixed = f"exists(raw, t -> not {_is_caps('t')}) and exists(raw, t -> {_is_caps('t')})"
-    # Everything that mentions the caller's column comes first, outside any name of ours.
-    body = f"if(size(low) > 0, {measured}, null)"
-    for name, value in [
-        ("info", f"transform(low, t -> {lexicon.entry('t')})"),
-        ("mixed", mixed),
-        ("but", "cast(array_position(low, 'but') - 1 as int)"),
-        ("low", "transform(raw, t -> lower(t))"),
-        ("raw", "doc.raw"),
-        ("doc", f"named_struct('amp', {_emphasis(text)}, 'raw', {_tokens(text)})"),
-    ]:
-        body = _let(name, value, body)
-    zero = ", ".join(f"'{n}', {_number(0)}" for n in ("compound", "pos", "neu", "neg"))
-    return F.expr(f"coalesce({body}, named_struct({zero}))")
+
+    @F.arrow_udf("struct<compound:double,pos:double,neu:double,neg:double>")
+    def batch(column: pa.Array) -> pa.Array:
+        return score_column(lexicon.kernel(), column)
+
+    return batch(F.expr(text))
