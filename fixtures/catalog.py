@@ -199,6 +199,47 @@ def headlines_profile_b(spark, sf_dir):
     return found.select("page_id", "position", "title", "url")
 
 
+def _marked_pages(spark, sf_dir, first: str, last: str) -> DataFrame:
+    """The pages with their headlines in a site's own markup; {} stands for the page's number."""
+    number = F.col("page_id").cast("string")
+    before, after = (F.replace(F.lit(text), F.lit("{}"), number) for text in (first, last))
+    html = F.replace(F.replace("html", F.lit("<h1>"), before), F.lit("</h1>"), after)
+    return v.pages(spark, sf_dir).withColumn("html", html)
+
+
+# Each mark beside near misses: a link and a mark inside other values, a mark as one word of an
+# attribute that is no list, a class that only begins alike, capitals in names, no link at all.
+_CARD = (
+    """<h2 data-testid="card-headline wide">no</h2><h2 title='data-testid="card-headline"'>no</h2>"""
+    """<A title="the href=wrong" HREF="/card/{}?a=1&amp;b=2"><H2 class=x Data-TestId='card-headline'>""",
+    """</H2></A><div href="/no"><h2 data-testid=card-headline>alone</h2></div>""",
+)
+_CONTAINER = (
+    """<span class="container__headline-textual">no</span><span data-class="container__headline-text">no</span>"""
+    """<a data-x='href="/no"' href=/text/{}><div title="a > b"><br><span class="a container__headline-text\nb"><!-- <i> -->""",
+    """</span></div></a><p><span class="Container__headline-text">no</span></p>""",
+)
+
+
+@query(
+    """select page_id, 0 "position", title, concat('/card/', cast(page_id as varchar), '?a=1&b=2') url
+       from v_headlines join pages p on p.page_id = seq
+       union all select page_id, 1, 'alone', null from pages"""
+)
+def headlines_card_mark(spark, sf_dir):
+    found = hl.extract_headlines(_marked_pages(spark, sf_dir, *_CARD), hl.PARENT_LINK, "2024-01-02")
+    return found.select("page_id", "position", "title", "url")
+
+
+@query(
+    """select page_id, 0 "position", title, concat('/text/', cast(page_id as varchar)) url
+       from v_headlines join pages p on p.page_id = seq"""
+)
+def headlines_container_mark(spark, sf_dir):
+    found = hl.extract_headlines(_marked_pages(spark, sf_dir, *_CONTAINER), hl.GRANDPARENT_LINK, "2024-01-02")
+    return found.select("page_id", "position", "title", "url")
+
+
 @query(
     """select seq, source, category, title from v_headlines
        where source <> 'cnn' or category in ('en', 'fr')"""

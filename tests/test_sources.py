@@ -230,6 +230,71 @@ def test_links_by_structure(spark, html, profile, expected):
     assert extracted(spark, html, hl.PROFILES[profile]) == expected
 
 
+MARK = ' data-testid="card-headline"'
+
+
+TAGS = [
+    ('<a title="the href=wrong" href="/right">', "/right"),
+    ("<a data-href='/no' href='/right'>", "/right"),
+    ("<a href = /right class=x>", "/right"),
+    ('<a class="x"href="/right">', "/right"),
+    ('<a href="/first" href="/last">', "/last"),
+    ("<a HREF='/right'>", "/right"),
+    ("<a 'href=/no' \"href=/no\" href=/right>", "/right"),
+    ('<a title="a > b" href="/right"\n>', "/right"),
+    ('<a href="it\'s">', "it's"),
+    ("<a href>", None), ('<a href="">', None), ("<a>", None), ('<a xhref="/no">', None), ('<a title="href=/no">', None),
+]
+
+
+def test_attributes_in_order(spark):
+    html = [(i, f"{tag}<h2{MARK}>T</h2></a>") for i, (tag, _) in enumerate(TAGS)]
+    found = hl.extract_headlines(spark.createDataFrame(html, "page_id int, html string"), hl.PARENT_LINK).collect()
+    assert {TAGS[r.page_id][0]: r.url for r in found} == dict(TAGS)
+
+
+CARD_TITLE = hl.Profile("H2", "Class", "CardTitle")
+
+
+@pytest.mark.parametrize(
+    ("profile", "taken", "left"),
+    [
+        (
+            hl.PARENT_LINK,
+            ['data-testid="x" data-testid="card-headline"', "DATA-TESTID=card-headline"],
+            ['data-testid="card-headline wide"', 'data-testid=" card-headline"', 'data-testid="Card-headline"',
+             """title='data-testid="card-headline"'""", 'class="card-headline"'],
+        ),
+        (
+            CARD_TITLE,
+            ['class="a CardTitle b"', "CLASS=CardTitle", 'class="\n CardTitle\t"'],
+            ['class="cardtitle"', 'class="CardTitles"', 'id="CardTitle"'],
+        ),
+        (hl.Profile("h2", "id", "a b"), ['id="a b"'], ['id="a"', 'id="a  b"']),
+    ],
+)
+def test_marks(spark, profile, taken, left):
+    pages = [(i, f"<div><h2 {mark}>T</h2></div>") for i, mark in enumerate([*taken, *left])]
+    found = hl.extract_headlines(spark.createDataFrame(pages, "page_id int, html string"), profile).collect()
+    assert sorted(r.page_id for r in found) == list(range(len(taken)))
+
+
+def test_text_around_stray_marks(spark):
+    html = f"before <h2{MARK}>a < b <!-- <h2> --> c<script>x</script> d<br/>e</p> f</h2> after"
+    assert extracted(spark, html, hl.PARENT_LINK) == [("a < b  c de f", None)]
+
+
+def test_many_headlines_on_a_page(spark):
+    html = "".join(f"<a href=/{i}><h2{MARK}>t{i}</h2></a>" for i in range(5000))
+    found = extracted(spark, html, hl.PARENT_LINK)
+    assert found == [(f"t{i}", f"/{i}") for i in range(5000)]
+
+
+def test_pages_without_text(spark):
+    pages = spark.createDataFrame([(1, None), (2, ""), (3, "card-headline")], "page_id int, html string")
+    assert hl.extract_headlines(pages, hl.PARENT_LINK).count() == 0
+
+
 def test_terms_with_punctuation(spark):
     texts = ["about COVID-19 now", "the U.S. economy", "#climate!", "covid 20", "climate economy u s"]
     frame = spark.createDataFrame(

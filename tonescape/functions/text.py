@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -60,15 +61,15 @@ def _numbered(piece: Column) -> Column:
     )
     valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     char = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
-    latin = F.create_map(*[F.lit(x) for pair in LATIN.items() for x in pair])
-    char = F.when(code.between(128, 159), F.coalesce(F.try_element_at(latin, code), char)).otherwise(char)
+    latin = F.from_json(F.lit(json.dumps([LATIN.get(i) for i in range(128, 160)])), "array<string>")
+    char = F.when(code.between(128, 159), F.coalesce(F.get(latin, code - 128), char)).otherwise(char)
     return F.when(F.coalesce(valid, F.lit(False)), char).otherwise(F.lit("\ufffd"))
 
 
 def decode_entities(text: Column) -> Column:
     """Replace HTML character references, each once; unknown names stay as written."""
     pieces = F.regexp_extract_all(text, F.lit(f"{_REFERENCE}|[^&]+|&"), F.lit(0))
-    named = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+    named = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")
 
     def decode(piece: Column) -> Column:
         name = F.substring(piece, 2, 1 << 30)
