@@ -142,6 +142,22 @@ def tweets_all_terms(spark, sf_dir):
     return found.select("keyword", "id", "created_at")
 
 
+@query(
+    f"""select keyword, id, created_at from (
+          select concat('the ', term) keyword, id, created_at,
+                 row_number() over (partition by term order by created_at desc, id desc) place
+          from (select id, created_at, regexp_extract_all(lower(text), '{WORD}') found from v_tweets
+                where text not like 'RT @%') m
+               join v_vocab on list_contains(found, 'the') and list_contains(found, term))
+        where place <= 20"""
+)
+def tweets_many_terms(spark, sf_dir):
+    """Hundreds of terms that all begin with the most frequent word."""
+    terms = [f"the {r.term}" for r in v.vocab(spark, sf_dir).collect()]
+    found = tw.search_terms(v.tweets(spark, sf_dir), terms, 20)
+    return found.select("keyword", "id", "created_at")
+
+
 @query("select id, text from v_tweets where like_count <> 0")
 def tweets_no_retweets(spark, sf_dir):
     text = F.when(F.col("like_count") == 0, F.concat(F.lit("RT @a: "), "text"))

@@ -103,10 +103,38 @@ def test_search(tweets):
 def test_terms_are_the_broadcast_side(tweets, monkeypatch):
     plan = tw.search(tweets, "climate")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
-    monkeypatch.setattr("tonescape.session.OPTION_ROWS", 0)
+    monkeypatch.setattr(tw, "INDEX_BYTES", 0)
     assert rows(tw.search(tweets, "economy"), "id") == [(4,)]
 
 
+def test_the_index_does_not_change_what_is_found(spark, tweets, monkeypatch):
+    many = tweets.unionByName(
+        spark.range(300).select(
+            (F.col("id") + 100).alias("id"),
+            F.concat(F.lit("the W"), (F.col("id") % 40).cast("string"), F.lit(" and so on the")).alias("text"),
+            F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz").alias("created_at"),
+        )
+    )
+    terms = [f"the w{i}" for i in range(0, 80, 3)] + ["the", "climate change", "the nowhere", "so on", "w3 climate", "The AND"]
+    found = rows(tw.match_terms(many, terms), "keyword", "id")
+    assert len([x for x in found if x[0] == "the"]) == 300 and ("the w3", 103) in found
+    for few, size in ((0, 1 << 20), (0, 0), (100, 0)):
+        monkeypatch.setattr(tw, "FEW_TERMS", few)
+        monkeypatch.setattr(tw, "INDEX_BYTES", size)
+        assert rows(tw.match_terms(many, terms), "keyword", "id") == found
+    assert tw.match_terms(many, []).count() == 0
+
+
+def test_many_terms_are_keyed_by_their_rarest_word(tweets, monkeypatch):
+    monkeypatch.setattr(tw, "FEW_TERMS", 0)
+    listed = {t: tw.term_words(t) for t in ["climate change", "climate economy", "climate", "climate nowhere"]}
+    assert tw._keys(tweets, listed) == {
+        "change": ["climate change"], "economy": ["climate economy"], "climate": ["climate"],
+    }
+    plan = tw.match_terms(tweets, list(listed))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_search_limits(tweets):
     many = tweets.filter("id = 0").select(
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(130).cast("bigint"))).alias("id"),

@@ -12,12 +12,17 @@ from tonescape import schemas
 from tonescape.functions.text import words
 from tonescape.operators.lookup import lookup_join, unique_last
 from tonescape.operators.ranking import first_per_group
-from tonescape.session import OPTION_ROWS, option_table
+from tonescape.session import option_table
 
 # The smallest and largest page the search serves.
 LIMIT_MIN = 10
 LIMIT_MAX = 100
 
+#: Up to so many terms are looked up by their first word, without a count of the messages' words.
+FEW_TERMS = 100
+#: Bytes of terms and their words that every task may have.
+INDEX_BYTES = 32 << 20
+
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Landed messages, ready to be searched."""
@@ -54,29 +59,67 @@ def term_words(term: str) -> list[str]:
 _WORD = re.compile(r"\w+")
 
 
+def word_counts(tweets: DataFrame, wanted: Sequence[str]) -> dict[str, int]:
+    """Messages that hold each of some words; words of no message are left out.
+
+    Counts are combined before their shuffle; what comes back is no longer than the list.
+    """
+    known = option_table(tweets.sparkSession, [(w,) for w in wanted], "_word string")
+    held = tweets.select(F.explode(F.array_distinct(words(F.col("text")))).alias("_word"))
+    counts = held.groupBy("_word").agg(F.count(F.lit(1)).alias("n")).join(known, "_word", "left_semi")
+    return {r["_word"]: r["n"] for r in counts.collect()}
+
+
+def _keys(tweets: DataFrame, listed: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Terms by the word that they are looked up under.
+
+    Few terms: their first word. Many: the word that the fewest messages hold, so that a
+    message meets few terms it does not match; a term with a word of no message is dropped.
+    """
+    keyed: dict[str, list[str]] = {}
+    counts = None
+    if len(listed) > FEW_TERMS:
+        counts = word_counts(tweets, sorted({w for found in listed.values() for w in found}))
+    for term, found in listed.items():
+        if counts is None:
+            keyed.setdefault(found[0], []).append(term)
+        elif all(w in counts for w in found):
+            keyed.setdefault(min(found, key=lambda w: (counts[w], w)), []).append(term)
+    return keyed
+
+
 def match_terms(tweets: DataFrame, terms: Sequence[str]) -> DataFrame:
     """One row per (message, term) where the message has every word of the term.
 
-    An equi-join on the first word of the term, then a check of the others in the same
-    row: no comparison of every message with every term, and no second shuffle.
+    An index of the terms, by one of their words each, is joined with the messages' words;
+    the other words are checked in the same row. The index is sent to every task, so no
+    message is shuffled and a word of a third of all messages is nobody's burden. An index of
+    more than ``INDEX_BYTES`` is joined by shuffle, and the messages of a hot word are spread.
     """
     listed = {t: term_words(t) for t in dict.fromkeys(terms)}
-    wanted = option_table(
-        tweets.sparkSession,
-        [(t, found, found[0]) for t, found in listed.items()],
-        "keyword string, _words array<string>, _first string",
-    )
-    firsts = sorted({found[0] for found in listed.values()})
+    keyed = _keys(tweets, listed)
+    rows = [(word, [(t, listed[t]) for t in found]) for word, found in keyed.items()]
+    schema = "_word string, _terms array<struct<keyword:string,words:array<string>>>"
+    index = tweets.sparkSession.createDataFrame(rows, schema)
+    size = sum(len(t.encode()) + sum(len(w.encode()) + 16 for w in listed[t]) for found in keyed.values() for t in found)
     has = F.col("_has")
-    # With a list that may be sent to every task, only words that begin a term go on.
-    begins = F.array_intersect(has, F.lit(firsts)) if 0 < len(firsts) <= OPTION_ROWS else has
-    return (
+    firsts = list(keyed)
+    # With a short list, only its words go on to the join.
+    begins = F.array_intersect(has, F.lit(firsts)) if 0 < len(firsts) <= FEW_TERMS else has
+    exploded = (
         tweets.drop("keyword")
         .withColumn("_has", F.array_distinct(words(F.col("text"))))
-        .withColumn("_first", F.explode(begins))
-        .join(wanted, "_first")
-        .filter(F.size(F.array_except("_words", "_has")) == 0)
-        .drop("_has", "_first", "_words")
+        .withColumn("_word", F.explode(begins))
+    )
+    if size <= INDEX_BYTES:
+        joined = exploded.join(F.broadcast(index), "_word")
+    else:
+        joined = lookup_join(exploded, index, "_word", tweets.drop("keyword").columns)
+    return (
+        joined.withColumn("_term", F.explode("_terms"))
+        .filter(F.size(F.array_except("_term.words", "_has")) == 0)
+        .withColumn("keyword", F.col("_term.keyword"))
+        .drop("_has", "_word", "_terms", "_term")
     )
 
 
