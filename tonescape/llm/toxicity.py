@@ -13,6 +13,7 @@ a clean one through windows at random and its worst.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -411,22 +412,34 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def _fit_rows(batches: Iterator[pa.RecordBatch], o: ToxicOptions, total: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """One row with the pickled network that the labelled texts of all batches give."""
+    rows = [row for batch in batches for row in batch.to_pylist()]
+    rows.sort(key=lambda row: row["doc_id"])
+    taken = {k: sum(row["toxic"] == k for row in rows) for k in (0, 1)}
+    weight = (total.get(0, 0) / max(taken[0], 1)) / (total.get(1, 0) / max(taken[1], 1)) if total.get(1) else 1.0
+    table = pa.array([row["text"] for row in rows], pa.string())
+    target = np.array([row["toxic"] for row in rows], np.int64)
+    texts = join_texts([read_texts(chunk, o) for chunk in wc.chunks(table, 4 << 20)], o)
+    net = pickle.dumps(fit(texts, target, o, weight))
+    yield pa.RecordBatch.from_arrays([pa.array([net], pa.binary())], names=["network"])
+
+
 def train(docs: DataFrame, labels: DataFrame, o: ToxicOptions = ToxicOptions()) -> Network:
     """Fit on at most ``o.sample`` labelled texts of each class, chosen by a hash of the id.
 
-    The sampled ids are bounded, so they go to every task; the sampled texts to the driver.
+    The sampled ids are bounded, so they go to every task; the sampled texts meet in one task,
+    which trains, and the driver gets the weights.
     """
     usable = labels.where(F.col("toxic").isin(0, 1) & ~held_out()).select("doc_id", "toxic")
     sides = [usable.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id")).limit(o.sample) for k in (0, 1)]
     sample = sides[0].unionByName(sides[1]).dropDuplicates(["doc_id"])
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    rows = sorted(texts.collect(), key=lambda r: r["doc_id"])
     total = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
-    taken = {k: sum(r["toxic"] == k for r in rows) for k in (0, 1)}
-    weight = (total.get(0, 0) / max(taken[0], 1)) / (total.get(1, 0) / max(taken[1], 1)) if total.get(1) else 1.0
-    table = pa.array([r["text"] for r in rows], pa.string())
-    target = np.array([r["toxic"] for r in rows], np.int64)
-    return fit(join_texts([read_texts(chunk, o) for chunk in wc.chunks(table, 4 << 20)], o), target, o, weight)
+    trained = texts.repartition(1).mapInArrow(lambda it: _fit_rows(it, o, total), "network binary").collect()
+    if not trained:  # without any row there may be no task
+        trained = [{"network": next(_fit_rows(iter(()), o, total)).column(0)[0].as_py()}]
+    return pickle.loads(trained[0]["network"])
 
 
 def _scores(net: Network, chunk: wc.Chunk) -> np.ndarray:
