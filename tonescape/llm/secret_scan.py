@@ -106,26 +106,6 @@ def candidates(docs: DataFrame, owner: str = "source") -> DataFrame:
     return kept.mapInArrow(lambda it: _scan(it, ["doc_id", "owner", "text_hash"]), schema)
 
 
-#: Matches every text that has a candidate (and some that have none).
-CANDIDATE = (
-    "(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{12}|[0-9a-f]{32}|gh[pousr]_|xox[abprs]-|sk_live_|AIza|"
-    "earer |PRIVATE KEY-----"
-)
-
-
-def candidates_of(docs: DataFrame, key: list[Column], owner: str) -> DataFrame:
-    """The key columns, owner and found of texts with candidates."""
-    kept = docs.where(F.col("text").rlike(CANDIDATE))
-    kept = kept.select(*key, F.col(owner).cast("string").alias("owner"), "text")
-    names = [n for n in kept.columns if n not in ("owner", "text")]
-    schema = ", ".join(f"{n} {t}" for n, t in kept.dtypes if n in names)
-    scanned = kept.mapInArrow(
-        lambda it: _scan(it, [*names, "owner"]),
-        f"{schema}, owner string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, found {_SPANS_SQL}",
-    )
-    return scanned.select(*names, "owner", "found").where(F.size("found") > 0)
-
-
 def ownership(found: DataFrame, options: SecretOptions = SecretOptions()) -> DataFrame:
     """value_hash, n_repositories, n_owners, verdict, from rows with text_hash, owner, found.
 
@@ -172,6 +152,9 @@ def _count(spans: Column, verdict: str) -> Column:
 
 REDACTED = "[REDACTED]"
 
+#: Column of the spans to replace, after all columns of the table: it is found by its place.
+_LIVE = "__live"
+
 
 def redact_text(text: str, spans: list[tuple[int, int]]) -> str:
     """The text with each maximal covered span replaced."""
@@ -186,9 +169,9 @@ def redact_text(text: str, spans: list[tuple[int, int]]) -> str:
 def _redact(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("__live").to_pylist()):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
             texts.append(text if text is None else redact_text(text, [(s["start"], s["end"]) for s in spans or ()]))
-        columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
+        columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(i) for i, n in enumerate(names)]
         if "n_chars" in names and pa.types.is_integer(batch.schema.field("n_chars").type):
             kind = batch.schema.field("n_chars").type
             sizes = [None if t is None else len(t) for t in texts]
@@ -200,17 +183,29 @@ def redact(docs: DataFrame, owner: str = "source", options: SecretOptions = Secr
     """``docs``, all rows and columns, with live-looking credentials replaced in the text.
 
     Examples stay. A column n_chars of whole numbers follows the text. Only texts with
-    candidates meet the corpus's verdicts; all others pass through without a shuffle.
+    candidates meet the corpus's verdicts; all others pass through without a shuffle. Null and
+    empty texts stay as they are, repeated rows are all redacted, an empty table stays empty,
+    and other columns, of whatever names, pass through.
     """
-    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"), F.xxhash64("text").alias("text_hash")]
-    found = stage(candidates_of(docs, key, owner), "secrets")
+    inner = {name: name if name == "text" else f"c{i}" for i, name in enumerate(docs.columns)}
+    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc")
+    keys = [doc, F.xxhash64("text").alias("text_hash"), F.col(owner).cast("string").alias("owner")]
+    rows = docs.select(*(F.col(name).alias(other) for name, other in inner.items()), *keys)
+    keep = rows.columns
+    counts = ", ".join(f"n_{kind} long" for kind in BASE)
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
+    scanned = rows.mapInArrow(
+        lambda it: _scan(it, keep), f"{schema}, {counts}, base_sha256 string, spans string, found {_SPANS_SQL}"
+    )
+    # the texts are scanned once, and stored with what they hold
+    marked = stage(scanned.select(*keep, "found", (F.size("found") > 0).alias("hit")), "secrets")
+    found = marked.where("hit").select("doc", "text_hash", "owner", "found")
     verdicts = ownership(found, options).where("verdict = 'live'").select("value_hash")
     each = found.select("doc", "text_hash", F.explode("found").alias("span")).select("doc", "text_hash", "span.*")
     live = each.join(verdicts, "value_hash", "left_semi").groupBy("doc", "text_hash")
-    live = live.agg(F.collect_set(F.struct("start", "end")).alias("__live"))
-    marked = docs.select("*", key[0].alias("__doc"), key[1].alias("__text_hash"))
-    maybe = F.col("text").rlike(CANDIDATE)
-    hit = marked.where(maybe).join(live.withColumnsRenamed({"doc": "__doc", "text_hash": "__text_hash"}), ["__doc", "__text_hash"], "left")
+    live = live.agg(F.collect_set(F.struct("start", "end")).alias("live"))
+    back = [F.col(other).alias(name) for name, other in inner.items()]
+    hit = marked.where("hit").join(live, ["doc", "text_hash"], "left").select(*back, F.col("live").alias(_LIVE))
     names = docs.columns
-    changed = hit.select(*names, "__live").mapInArrow(lambda it: _redact(it, names), docs.schema)
-    return docs.where(~F.coalesce(maybe, F.lit(False))).unionByName(changed)
+    changed = hit.mapInArrow(lambda it: _redact(it, names), docs.schema)
+    return marked.where("not hit").select(*back).unionByName(changed)
