@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,11 +33,18 @@ _BAD = {"nav", "footer", "aside", "form", "menu", "button", "select", "fieldset"
 _BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog"}
 _BAD_NAME = re.compile(
     r"(?:(?:site|page|main|top|bottom|left|right|global|primary|secondary|user|reader|post|article)[-_]?)?"
-    r"(?:ads?|adv|advert\w*|sponsor\w*|promo\w*|banners?|cookies?\w*|notices?|consent|gdpr|alert|newsletter\w*|"
-    r"subscribe\w*|signup|login|search|sidebar|side-bar|aside|menus?|nav|navbar|navigation|topnav|breadcrumbs?|"
-    r"footer|foot|header|masthead|toolbar|share|sharing|social\w*|related\w*|recommend\w*|comments?|commentlist|"
-    r"disqus\w*|replies|respond|discussion|popup|modal|overlay|widgets?|pagination|pager|tags?|toc|copyright)"
-    r"(?:[-_][\w-]*)?",
+    r"(?:ads?|adv|advert\w*|sponsor(?:ed|s)?|promos?|promotions?|banners?|cookies?|cookie-?consent|notices?|consent|gdpr|"
+    r"alert|newsletters?|subscribe|subscription|signup|login|search|sidebar|side-bar|aside|menus?|nav|navbar|navigation|"
+    r"topnav|breadcrumbs?|footer|foot|header|masthead|toolbar|share|sharing|social|related|recommended|recommendations?|"
+    r"popup|modal|overlay|widgets?|pagination|pager|tags?|toc|copyright)"
+    r"(?:[-_](?:ads?|area|banner|bar|block|body|box|button|buttons|column|container|content|form|icons|inner|items?|label|"
+    r"left|links?|list|main|menu|message|modal|module|nav|outer|overlay|panel|popup|posts|right|section|sidebar|slot|stories|"
+    r"text|title|top|unit|widgets?|wrap|wrapper|\d+))*",
+    re.IGNORECASE,
+)
+_COMMENT_NAME = re.compile(
+    r"(?:(?:site|page|user|reader|post|article)[-_]?)?(?:comments?|commentlist|disqus|replies|respond|discussion)"
+    r"(?:[-_](?:area|block|body|box|container|content|form|inner|items?|list|section|text|thread|title|wrap|wrapper|\d+))*",
     re.IGNORECASE,
 )
 _STOP_WORDS = [
@@ -89,56 +96,80 @@ class Block:
     outside: bool
     #: Number of the nearest enclosing container.
     container: int
+    #: Number of the outermost enclosing element that only its name speaks against, 0 if none.
+    named: int = 0
 
 
-def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
+def _is_bad(tag: str, attributes: str, in_article: bool) -> str:
+    """What speaks against an element: "part" for certain, its "name", or nothing.
+
+    Names are compared whole, word by word. An article is never judged by its name, unless
+    that says that it is a reader's comment; nor is a header within one.
+    """
     if tag in _BAD or tag == "header" and not in_article:
-        return True
+        return "part"
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return ""
+    found = ""
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
             if tag == "header" and in_article:
                 continue
-            if any(_BAD_NAME.fullmatch(word) for word in value.split()):
-                return True
+            words = value.split()
+            if any(_COMMENT_NAME.fullmatch(word) for word in words):
+                return "part"
+            if tag != "article" and any(_BAD_NAME.fullmatch(word) for word in words):
+                found = "name"
         elif name == "role":
             if value.lower() in _BAD_ROLES:
-                return True
+                return "part"
         elif name == "aria-hidden":
             if value.lower() == "true":
-                return True
+                return "part"
         elif name == "style":
             if _HIDDEN.search(value):
-                return True
+                return "part"
         elif name == "hidden":
             if not value or value.lower() == "hidden":
-                return True
-    return False
+                return "part"
+    return found
+
+
+@dataclass(slots=True)
+class _Open:
+    """An open element, with what holds inside it, so that no question walks the stack."""
+
+    tag: str
+    bad: bool
+    outside: bool
+    named: int
+    article: int
+    container: int
+    block: str
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's blocks with text, in order."""
+    """The page's blocks with text, in order. The time is in proportion to the page."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, int, int]] = []  # tag, bad, article, container
+    stack = [_Open("", False, False, 0, 0, 0, "")]  # the page itself stays
+    is_open: Counter[str] = Counter()
     text: list[str] = []
     in_links = link = 0
-    articles = containers = 0
+    articles = containers = names = 0
 
-    def close_block(tag: str) -> None:
+    def close_block() -> None:
         nonlocal in_links
         joined = " ".join(entities.unescape("".join(text)).split())
         if joined:
-            article = next((a for _, _, a, _ in reversed(stack) if a), 0)
-            container = next((c for _, _, _, c in reversed(stack) if c), 0)
-            outside = any(bad for _, bad, _, _ in stack)
-            found.append(Block(joined, in_links, tag in _HEADINGS, article, outside, container))
+            top = stack[-1]
+            heading = top.block in _HEADINGS
+            found.append(Block(joined, in_links, heading, top.article, top.outside, top.container, top.named))
         text.clear()
         in_links = 0
 
-    def block_tag() -> str:
-        return next((t for t, *_ in reversed(stack) if t in _BLOCK), "")
+    def pop() -> None:
+        is_open[stack.pop().tag] -= 1
 
     at, size = 0, len(page)
     while at < size:
@@ -167,40 +198,60 @@ def blocks(page: str) -> list[Block]:
                     at = size
             text.append(" ")
             continue
-        if tag in _BLOCK or tag == "br":
-            if tag == "br":
-                text.append(" ")
-            else:
-                close_block(block_tag())
+        if tag == "br":
+            text.append(" ")
+        elif tag in _BLOCK:
+            close_block()
         if tag in _VOID:
             continue
         if tag == "a":
             link = 0 if closing else 1
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                del stack[depth:]
-                link = link and int(any(t == "a" for t, *_ in stack))
+            if is_open[tag]:
+                while stack[-1].tag != tag:
+                    pop()
+                pop()
+                link = link and int(is_open["a"] > 0)
             continue
         if tag in _BLOCK:
-            while stack and stack[-1][0] not in _BLOCK and not stack[-1][1]:
-                stack.pop()  # inline elements left open
+            while stack[-1].tag and stack[-1].tag not in _BLOCK and not stack[-1].bad:
+                pop()  # inline elements left open
                 link = 0
-            if stack and (stack[-1][0] == "p" or tag in ("li", "dt", "dd", "option", "tr", "td", "th") and stack[-1][0] == tag):
-                stack.pop()
-        in_article = any(a for _, _, a, _ in stack)
-        bad = _is_bad(tag, attributes, in_article)
-        article = 0
+            last = stack[-1].tag
+            if last == "p" or tag in ("li", "dt", "dd", "option", "tr", "td", "th") and last == tag:
+                pop()
+        top = stack[-1]
+        bad = _is_bad(tag, attributes, top.article > 0)
+        article, container, named = top.article, top.container, top.named
         if tag in ("article", "main") and not bad:
             articles += 1
             article = articles
-        container = 0
         if tag in _CONTAINERS:
             containers += 1
             container = containers
+        if bad == "name" and not named:
+            names += 1
+            named = names
         if not attributes.endswith("/") or tag in _BLOCK or tag == "a":
-            stack.append((tag, bad, article, container))
-    close_block(block_tag())
+            outside = top.outside or bad == "part"
+            stack.append(_Open(tag, bool(bad), outside, named, article, container, tag if tag in _BLOCK else top.block))
+            is_open[tag] += 1
+    close_block()
+    return _judge_names(found)
+
+
+def _judge_names(found: list[Block]) -> list[Block]:
+    """Elements that only their name speaks against are no part of the article, unless one
+    holds more than half of the page's prose."""
+    prose: Counter[int] = Counter()
+    if any(block.named for block in found):
+        for block in found:
+            if not block.outside and len(block.text) >= BlockRules.long and 2 * block.in_links < len(block.text):
+                if stop_density(block.text) >= BlockRules.stop_density:
+                    prose[block.named] += len(block.text)
+        total = sum(prose.values())
+        for block in found:
+            block.outside = block.outside or bool(block.named) and 2 * prose[block.named] <= total
     return found
 
 
@@ -222,7 +273,7 @@ def first_pass(block: Block, rules: BlockRules) -> str:
         return "bad"
     size = len(block.text)
     if block.in_links > rules.link_density * size:
-        return "bad"
+        return "links" if block.article else "bad"
     if size < rules.short or block.heading:
         return "short"
     if stop_density(block.text) >= rules.stop_density:
@@ -232,21 +283,26 @@ def first_pass(block: Block, rules: BlockRules) -> str:
     return "bad"
 
 
-def _nearest(labels: list[str], where: list[int], at: int, step: int) -> tuple[int, str] | None:
-    """Distance and label of the next decided block among ``where``, from place ``at`` on."""
-    place = at + step
-    while 0 <= place < len(where):
-        if labels[where[place]] in ("good", "bad"):
-            return abs(place - at), labels[where[place]]
-        place += step
-    return None
+def _sides(labels: list[str], where: list[int]) -> dict[int, list[tuple[int, str] | None]]:
+    """For each block of ``where``, distance and label of the decided ones next to it."""
+    found: dict[int, list[tuple[int, str] | None]] = {i: [None, None] for i in where}
+    for side, order in ((0, where), (1, where[::-1])):
+        label, distance = "", 0
+        for i in order:
+            distance += 1
+            if label:
+                found[i][side] = (distance, label)
+            if labels[i] in ("good", "bad"):
+                label, distance = labels[i], 0
+    return found
 
 
 def second_pass(found: list[Block], labels: list[str]) -> list[bool]:
     """Whether each block is kept; open ones follow their nearest decided neighbours.
 
     Neighbours in the same container (div, section, article, cell) come first, parts that
-    are never the article left out; then any. An article with nothing decided is kept.
+    are never the article left out; then any. An article with nothing decided is kept, and
+    blocks of links in it are dropped, but say nothing about their neighbours.
     Where both sides differ at equal distance, a heading follows the next one, prose is
     kept and a short block is not.
     """
@@ -254,18 +310,18 @@ def second_pass(found: list[Block], labels: list[str]) -> list[bool]:
     for i, block in enumerate(found):
         if not block.outside:
             own.setdefault(block.container, []).append(i)
-    everywhere = list(range(len(found)))
+    inside: dict[int, list[tuple[int, str] | None]] = {}
+    for where in own.values():
+        inside |= _sides(labels, where)
+    everywhere = _sides(labels, list(range(len(found))))
     kept = []
     for i, (block, label) in enumerate(zip(found, labels)):
-        if label in ("good", "bad"):
+        if label in ("good", "bad", "links"):
             kept.append(label == "good")
             continue
-        sides: list[tuple[int, str] | None] = []
-        for where in (own[block.container], everywhere):
-            at = bisect_left(where, i)
-            sides = [_nearest(labels, where, at, step) for step in (-1, 1)]
-            if any(sides) or block.article:
-                break
+        sides = inside[i]
+        if not any(sides) and not block.article:
+            sides = everywhere[i]
         before, after = sides
         if before is None or after is None:
             side = before or after
