@@ -47,7 +47,9 @@ def later_copies(codes: np.ndarray, at: np.ndarray, place: np.ndarray, start: np
     if len(at) < 2:
         return flagged
     key = wc.ngram_hashes(codes, n)[at]
-    by_age = np.lexsort((start, place)) if np.any(np.diff(place) < 0) else np.arange(len(at))
+    step = np.diff(place)
+    sorted_ = np.all((step > 0) | (step == 0) & (np.diff(start) >= 0))
+    by_age = np.arange(len(at)) if sorted_ else np.lexsort((start, place))
     order = by_age[np.argsort(key[by_age], kind="stable")]
     key = key[order]
     new = np.append(True, key[1:] != key[:-1])
