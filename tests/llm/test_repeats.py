@@ -6,6 +6,7 @@ import pytest
 
 from tests.llm import brute
 from tonescape.llm import chosen_path, queries, suffix_ranks, super_kmers
+from tonescape.llm.storage import small_batches
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -32,10 +33,31 @@ def test_word_windows_hard(frame, hard_rows, chunk):
     assert _sorted(r[:4] for r in got.collect()) == _sorted(expected)
 
 
+@pytest.mark.parametrize("chunk", [64, 1 << 20])
+def test_word_windows_of_one_doc_id(frame, chunk):
+    """Rows with one doc_id: the earlier start stays, whatever the order of the rows."""
+    shared = " ".join(f"s{i}" for i in range(25))
+    before = [" ".join(f"{x}{i}" for i in range(n)) for x, n in (("a", 10), ("b", 2), ("c", 10))]
+    rows = [(d, f"{b} {shared} end{k}", "a") for k, (d, b) in enumerate([(5, before[0]), (5, before[1]), (None, before[2]), (None, before[1] + " q")])]
+    for order in (rows, rows[::-1], rows[:2], rows[1::-1], rows[2:]):
+        options = super_kmers.WindowOptions(chunk_bytes=chunk, bucket_bytes=2000)
+        got = super_kmers.remove_repeats(frame(order, 1), options).collect()
+        assert _sorted(r[:4] for r in got) == _sorted(brute.word_windows([r[:2] for r in order]))
+
+
 def test_word_windows_empty(frame):
     assert super_kmers.remove_repeats(frame([])).collect() == []
 
 
+def test_small_batches_are_put_back(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with pytest.raises(ZeroDivisionError), small_batches(spark, 7):
+        assert spark.conf.get(name) == "7"
+        raise ZeroDivisionError
+    assert spark.conf.get(name) == before
+
+
 def test_byte_strings_query(spark):
     got = queries.QUERIES["op2_suffix_ranks"](spark, SF_DIR).collect()
     assert _sorted(r[:5] for r in got) == _sorted(brute.byte_repeats(documents(spark)))

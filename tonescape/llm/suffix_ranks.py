@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonescape.llm import wordcode as wc
-from tonescape.llm.storage import Stored
+from tonescape.llm.storage import Stored, small_batches
 from tonescape.llm.super_kmers import runs_of
 
 
@@ -37,7 +37,8 @@ class SuffixOptions:
     """``size``: bytes of a string. ``stretch`` and ``gram`` choose the anchors;
     3 * stretch + gram must not exceed size + 1. ``chunk_bytes`` of text are worked on
     together, a bucket gets about ``bucket_bytes``. A rank with more than ``hot_anchors``
-    anchors is dealt string by string, by hash."""
+    anchors is dealt string by string, by hash. ``batch_rows`` texts are handed over at a time,
+    and tables are written in row groups of ``group_bytes``; both bound a task's memory."""
 
     size: int = 400
     stretch: int = 128
@@ -45,6 +46,8 @@ class SuffixOptions:
     chunk_bytes: int = 2 << 20
     bucket_bytes: int = 8 << 20
     hot_anchors: int = 5_000
+    batch_rows: int = 1_000
+    group_bytes: int = 16 << 20
 
     @property
     def zone(self) -> int:
@@ -155,7 +158,8 @@ def repeated_anchors(docs: DataFrame, o: SuffixOptions) -> list[Stored]:
     The first ranks are of prefixes of two anchors. A rank holds only within its level.
     """
     columns = "doc long, text_hash long, number int, depth int, lo int, fit int"
-    base = Stored(docs.mapInArrow(lambda it: _emit(it, o), f"key long, {columns}"), "anchors")
+    with small_batches(docs.sparkSession, o.batch_rows):
+        base = Stored(docs.mapInArrow(lambda it: _emit(it, o), f"key long, {columns}"), "anchors", o.group_bytes)
     live = rerank(base.frame, ["key"], o)
     base.drop()
     step, done = 2, []
@@ -352,9 +356,9 @@ def repeated_runs(docs: DataFrame, o: SuffixOptions = SuffixOptions()) -> DataFr
     texts = docs.join(owned, ["doc", "text_hash"]).select("doc", "text_hash", "text", "owned")
     dealt = texts.mapInArrow(lambda it: _deal(it, buckets, o), "bucket long, kind int, blob binary")
     dealt = dealt.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    runs = Stored(
-        dealt.mapInArrow(lambda it: _search(it, o), "doc long, text_hash long, start long, size long"), "runs"
-    )
+    found = dealt.mapInArrow(lambda it: _search(it, o), "doc long, text_hash long, start long, size long")
+    with small_batches(spark, o.batch_rows):
+        runs = Stored(found, "runs", o.group_bytes)
     for level in levels:
         level.drop()
     return runs.frame
