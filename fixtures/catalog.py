@@ -478,6 +478,55 @@ def topic_enrich(spark, sf_dir):
 # --- Tables ------------------------------------------------------------------------
 
 
+def _three_runs(spark, sf_dir) -> str:
+    """The results stored as runs of ten days each; one is written twice."""
+    root, found = _new_root(spark), v.results(spark, sf_dir)
+    day = F.date_diff(F.to_date("processed_at"), F.lit("2024-01-01").cast("date"))
+    for run in (0, 1, 2, 1):
+        tables.append_table(found.filter(F.floor(day / 10) == run), root, tables.SENTIMENT, f"run{run}")
+        tables.finish_run(spark, root, f"run{run}")
+    return root
+
+
+@query(
+    """select source, source_id, processed_at, topic_id from v_results
+       where cast(processed_at as date) between date '2024-01-08' and date '2024-01-12'"""
+)
+def stored_days(spark, sf_dir):
+    """A range of days over two of three runs."""
+    found = tables.read_days(spark, _three_runs(spark, sf_dir), "2024-01-08", "2024-01-12")
+    return found.select("source", "source_id", "processed_at", "topic_id")
+
+
+@query(
+    """select source, source_id, processed_at, topic_id from v_results
+       where cast(processed_at as date) >= (
+         select greatest(min(cast(processed_at as date)), max(cast(processed_at as date)) - 7) from v_results)"""
+)
+def stored_last_week(spark, sf_dir):
+    """The default range, its bounds from the log of runs."""
+    found = tables.read_last_week(spark, _three_runs(spark, sf_dir))
+    return found.select("source", "source_id", "processed_at", "topic_id")
+
+
+@query(
+    """select 'none' feed, cast(0 as bigint) written, cast(0 as bigint) stored
+       union all select 'repeated', count(*), count(*) from v_tweets
+       union all select 'both', cast(0 as bigint), 2 * count(*) from v_tweets"""
+)
+def sink_only_when_rows(spark, sf_dir):
+    """Nothing is written without rows; a run that is written again is there once."""
+    root, rows, found = _new_root(spark), [], v.tweets(spark, sf_dir)
+    stored = lambda: tables.read_table(spark, root, tables.RAW_TWEETS).count()
+    tables.append_table(found.limit(0), root, tables.RAW_TWEETS, "empty")
+    rows.append(("none", tables.append_if_any(found.filter("like_count < 0"), root, tables.RAW_TWEETS, "a"), stored()))
+    tables.append_if_any(found.filter("like_count > 3"), root, tables.RAW_TWEETS, "a")
+    rows.append(("repeated", tables.append_if_any(found, root, tables.RAW_TWEETS, "a"), stored()))
+    tables.append_table(found, root, tables.RAW_TWEETS, "b")
+    rows.append(("both", 0, stored()))
+    return spark.createDataFrame(rows, "feed string, written long, stored long")
+
+
 def _new_root(spark) -> str:
     return f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
 

@@ -293,3 +293,22 @@ def test_topics_part_texts_that_share_no_word(spark):
 def test_all_passes_run(share):
     options = topics.TopicOptions(share=share)
     assert options.iterations * share >= options.passes > (options.iterations - 1) * share - 1e-6
+
+
+def test_texts_meet_by_digest(spark):
+    """No exchange or sort has a text of the looked-up side as its key."""
+    left = spark.createDataFrame([("a", "1", "x" * 50), ("a", "2", None), ("a", "3", "y")], "source string, source_id string, text string")
+    right = spark.createDataFrame(
+        [("x" * 50, 1, 0.5, ["k"]), ("x" * 50, 2, 0.7, ["l"]), (None, 3, 0.9, ["m"])],
+        "text string, topic_id int, topic_confidence double, topic_keywords array<string>",
+    )
+    with_conf = enrich.topic_enrich(left, right)
+    assert sorted(tuple(r)[1:] for r in with_conf.select("source", "source_id", "topic_id", "topic_keywords").collect()) == [
+        ("1", 2, "l"), ("2", -1, "Unknown"), ("3", -1, "Unknown"),
+    ]
+    plan = with_conf._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "hashpartitioning(" in line or " Sort [" in line]
+    assert any("_digest" in line for line in keys)
+    for line in keys:
+        part = line.split("hashpartitioning(")[1].split(")")[0] if "hashpartitioning(" in line else line.split("Sort [")[1].split("]")[0]
+        assert "text" not in part

@@ -79,6 +79,60 @@ def test_empty_append_is_harmless(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path), tables.RAW_TWEETS).count() == tweets.count()
 
 
+def test_a_broken_run_can_be_started_again(spark, tmp_path, monkeypatch):
+    root, feeds = str(tmp_path), views.feeds(spark, SF)
+    options = TopicOptions(passes=1, max_features=50)
+
+    def run():
+        return pipeline.run(
+            spark, root, Lexicon({"the": 1.0}), feeds["posts"], feeds["tweets"], feeds["headlines"], options,
+            run_ts=dt.datetime(2024, 1, 1), run_id="night-1",
+        )
+
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline, "fit_topics", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    assert tables.read_table(spark, root, tables.RAW_TWEETS).count() == feeds["tweets"].count()
+    first = run()
+    second = run()
+    assert first.rows == second.rows
+    for name, n in second.rows.items():
+        assert tables.read_table(spark, root, name).count() == n
+    assert [tuple(r) for r in tables.run_log(spark, root).select("run_id", "n").collect()] == [
+        ("night-1", second.rows[tables.SENTIMENT])
+    ]
+    assert tables.default_days(spark, root) == (dt.date(2024, 1, 1),) * 2
+
+
+def test_days_are_read_from_their_runs_only(spark, tmp_path):
+    root = str(tmp_path)
+    for day in (1, 2, 5, 20):
+        rows = [("reddit", f"{day}-{i}", dt.datetime(2024, 1, day, 23, 59, 59, 999999)) for i in range(3)]
+        frame = spark.createDataFrame(rows, "source string, source_id string, processed_at timestamp_ntz")
+        kinds = dict(part.split() for part in tables.LAYOUT[tables.SENTIMENT][0].split(", "))
+        frame = frame.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in frame.columns})
+        tables.append_table(frame, root, tables.SENTIMENT, f"day{day}")
+        if day != 5:  # not finished
+            tables.finish_run(spark, root, f"day{day}")
+    found = tables.read_days(spark, root, "2024-01-02", dt.date(2024, 1, 19))
+    assert sorted(r.source_id for r in found.collect()) == ["2-0", "2-1", "2-2"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "run_id" in pruned and "day2" in pruned and "day20" not in pruned
+    assert tables.default_days(spark, root) == (dt.date(2024, 1, 13), dt.date(2024, 1, 20))
+    assert {r.source_id for r in tables.read_last_week(spark, root).collect()} == {"20-0", "20-1", "20-2"}
+    with pytest.raises(ValueError):
+        tables.append_table(frame, root, tables.SENTIMENT, "../x")
+
+
+def test_no_results_have_no_range(spark, tmp_path):
+    tables.append_table(tables.schemas.empty(spark, tables.LAYOUT[tables.SENTIMENT][0]), str(tmp_path), tables.SENTIMENT, "a")
+    tables.finish_run(spark, str(tmp_path), "a")
+    assert tables.default_days(spark, str(tmp_path)) is None
+    assert tables.read_last_week(spark, str(tmp_path)).count() == 0
+
+
 class FakeSession:
     """Just enough of a session to ask for its shared folder."""
 

@@ -32,11 +32,17 @@ def topic_enrich(
 ) -> DataFrame:
     """Left join on the text; of several assignments of a text the last one counts.
 
-    The pipeline itself does not need this join: a model assigns topics row by row.
+    Rows meet by a digest of 128 bits, which is what is hashed, sorted and compared, however
+    long the texts are; the texts themselves are compared once rows have met. The pipeline
+    itself does not need this join: a model assigns topics row by row.
     """
     columns = ["text", "topic_id", "topic_confidence", "topic_keywords"]
     extra = [c for c in order if c not in columns]
-    unique = unique_last(
-        assignment.select(*columns, *extra), ["text"], [F.col(c) for c in order]
-    ).drop(*extra)
-    return lookup_join(unified, unique, "text", spread).withColumns(topic_columns())
+    digest = F.unhex(F.substring(F.sha2("text", 256), 1, 32))
+    keyed = assignment.select(*columns, *extra, digest.alias("_digest"))
+    unique = unique_last(keyed, ["_digest"], [F.col(c) for c in order]).drop(*extra)
+    unique = unique.filter(F.col("_digest").isNotNull()).withColumnRenamed("text", "_text")
+    met = lookup_join(unified.withColumn("_digest", digest), unique, "_digest", spread)
+    same = F.col("_text") == F.col("text")
+    topics = {c: F.when(same, F.col(c)) for c in columns[1:]}
+    return met.withColumns(topics).drop("_digest", "_text").withColumns(topic_columns())

@@ -36,6 +36,9 @@ def run(
 ) -> RunResult:
     """Append one run to the tables below ``root``; feeds are optional.
 
+    A run that was broken off can be started again with its ``run_id``: each table's rows of
+    that run are replaced. The run is logged when all of its tables are written.
+
     Each feed is written to its raw table first and read back from there, so landed
     dumps and HTML are parsed once. Topics are assigned row by row; the only shuffles
     over all rows are the two deduplications and the news numbering.
@@ -64,7 +67,8 @@ def run(
     unique = dedup_unified(unified, ["created_at", "text"])
     if model is None:
         append(no_topics(unique), tables.SENTIMENT)
-        return result
-    append(model.assign(unique).withColumns(topic_columns()), tables.SENTIMENT)
-    append(model.topics(spark, run_ts, result.run_id), tables.TOPICS)
+    else:
+        append(model.assign(unique).withColumns(topic_columns()), tables.SENTIMENT)
+        append(model.topics(spark, run_ts, result.run_id), tables.TOPICS)
+    tables.finish_run(spark, root, result.run_id)
     return result
