@@ -13,7 +13,8 @@ from fixtures.oracle import decoded, lit, mean, statement
 from tonescape.functions import scalar
 from tonescape.functions.sentiment import score
 from tonescape.functions.text import SPACE, TERM, WORD, strip_space
-from tonescape.operators import enrich, graph, report, scoring, topics, unify
+from tonescape.operators import enrich, graph, panels, report, scoring, topics, unify
+from tonescape.plans import dashboard
 from tonescape.session import shared_dir
 from tonescape.sources import headlines as hl
 from tonescape.sources import posts as ps
@@ -776,6 +777,99 @@ def head_sample(spark, sf_dir):
     return first.select("source", "source_id", "seq")
 
 
+# --- Panels, from results that are read once -----------------------------------------
+
+_BIN = """cast(least(floor((cast(floor(sentiment_compound * 10000 + 0.5::double) as bigint) + 10000)
+    / 1000.0::double), 19) as integer)"""
+
+
+@query(
+    f"""select processed_at::date::varchar "day", source, topic_id, {_BIN} bin, count(*) n,
+               count(*) filter (where sentiment_compound <> 0) nonzero, """
+    + ", ".join(
+        f"count(sentiment_{c}) {c}_n, cast(sum(cast(floor(sentiment_{c} * 1000000 + 0.5::double) as bigint)) as bigint) {c}_sum"
+        for c in panels.COMPONENTS
+    )
+    + ", min(processed_at) first_time, max(processed_at) last_time from v_results group by 1, 2, 3, 4"
+)
+def panel_sums(spark, sf_dir):
+    # Times are whole minutes here, so no row is late.
+    sums = panels.panel_sums(v.results(spark, sf_dir)).withColumn("day", F.col("day").cast("string"))
+    return sums.drop("run_id", "late")
+
+
+def _panel(name, spark, sf_dir, start="2024-01-05", end="2024-01-20"):
+    return dashboard.from_sums(v.sums(spark, sf_dir), v.topics(spark, sf_dir), start, end)[name]
+
+
+@query("select count(*) datapoints, count(distinct source) sources, count(distinct topic_id) topics from v_days")
+def panel_overview(spark, sf_dir):
+    return _panel("overview", spark, sf_dir)
+
+
+@query(
+    """select count(*) datapoints, count(distinct source) sources, count(distinct topic_id) topics
+       from v_results, (select max(processed_at)::date hi, min(processed_at)::date lo from v_results) b
+       where processed_at >= greatest(lo, hi - 7)::timestamp
+         and processed_at <= hi::timestamp + interval 86399 seconds"""
+)
+def panel_overview_last_week(spark, sf_dir):
+    return _panel("overview", spark, sf_dir, None, None)
+
+
+@query("select distinct topic_id from v_results")
+def panel_topic_options(spark, sf_dir):
+    return _panel("topic_options", spark, sf_dir)
+
+
+@query(f"select source, {_BIN} bin, count(*) n from v_days group by all")
+def panel_histogram(spark, sf_dir):
+    return _panel("histogram", spark, sf_dir)
+
+
+@query(f"select source, {mean('sentiment_compound')} avg_compound from v_days group by source")
+def panel_by_source(spark, sf_dir):
+    return _panel("sentiment_by_source", spark, sf_dir)
+
+
+@query(f"select topic_id, {mean('sentiment_compound')} avg_compound from v_days group by topic_id")
+def panel_by_topic(spark, sf_dir):
+    return _panel("sentiment_by_topic", spark, sf_dir)
+
+
+@query(
+    """select s.source, s.topic_id, s.n, cast(row_number() over (
+         partition by s.source order by s.n desc, s.topic_id) as integer) "rank",
+         array_to_string(t.topic_keywords[1:5], ', ') keywords
+       from (select source, topic_id, count(*) n from v_days
+             where source is not null and topic_id is not null group by all) s
+            left join v_topics t on s.topic_id = t.topic_id"""
+)
+def panel_topics_by_source(spark, sf_dir):
+    return _panel("topics_by_source", spark, sf_dir).select("source", "topic_id", "n", "rank", "keywords")
+
+
+@query(
+    f"""select concat('Topic ', t.topic_id) id, 'topic' "type", coalesce(m.m, 0.0::double) sentiment
+        from (select distinct topic_id from v_terms where score >= 5) t
+        left join (select topic_id, {mean('sentiment_compound')} m from v_days group by topic_id) m
+          on t.topic_id = m.topic_id
+        union all
+        select distinct keyword, 'keyword', null::double from v_terms where score >= 5"""
+)
+def panel_nodes(spark, sf_dir):
+    return _panel("nodes", spark, sf_dir)
+
+
+@query(
+    f"""select {mean('sentiment_positive')} mean_positive,
+               {mean('sentiment_neutral')} mean_neutral,
+               {mean('sentiment_negative')} mean_negative, count(*) n from v_results"""
+)
+def panel_components(spark, sf_dir):
+    return panels.mean_components(v.sums(spark, sf_dir))
+
+
 # --- Topics ------------------------------------------------------------------------
 
 

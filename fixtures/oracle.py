@@ -123,6 +123,9 @@ VIEWS: dict[str, str] = {
                case when a.topic_id is null then 'Unknown'
                     else array_to_string(a.topic_keywords[1:5], ',') end topic_keywords
         from v_unified u left join v_assignment a on u.text = a.text""",
+    "v_days": """
+        select * from v_results where processed_at >= timestamp '2024-01-05 00:00:00'
+          and processed_at <= timestamp '2024-01-20 23:59:59'""",
     "v_by_source": """
         select source, topic_id, count(*) n from v_results
         where source is not null and topic_id is not null group by all""",

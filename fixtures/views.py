@@ -13,6 +13,7 @@ from tonescape.functions.scalar import ntz
 from tonescape.functions.sentiment import Lexicon
 from tonescape.functions.text import title_of
 from tonescape.operators.enrich import topic_enrich
+from tonescape.operators.panels import panel_sums
 from tonescape.operators.topics import (
     TopicModel,
     TopicOptions,
@@ -21,6 +22,7 @@ from tonescape.operators.topics import (
     vocabulary,
 )
 from tonescape.operators.unify import unify_all
+from tonescape.session import stage
 from tonescape.sources.headlines import Profile, extract_headlines
 from tonescape.sources.posts import scan_posts
 
@@ -198,6 +200,11 @@ def results(spark, sf_dir):
     return topic_enrich(unified(spark, sf_dir), assignment(spark, sf_dir), ["feed", "seq"])
 
 
+def sums(spark, sf_dir):
+    """Results summed up for the panels; read once per session and data."""
+    return _once(spark, "sums", sf_dir, lambda: stage(panel_sums(results(spark, sf_dir)), "sums"))
+
+
 def model(spark, sf_dir) -> TopicModel:
     """The fitted model over whole documents; fitted once per session and data."""
     return _once(

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tonescape.functions import scalar
 from tonescape.functions.sentiment import Lexicon
-from tonescape.operators import enrich, fold_in, graph, report, topics, unify
+from tonescape.operators import enrich, fold_in, graph, panels, report, topics, unify
 from tonescape.operators.lookup import hot_keys, lookup_join
 from tonescape.operators.numbering import number_rows
 from tonescape.operators.ranking import first_per_group
+from tonescape.plans import dashboard
 
 LEXICON = Lexicon({"great": 3.1, "terrible": -2.1, "love": 3.2, "record": 1.0})
 NOW = dt.datetime(2024, 1, 1)
@@ -312,3 +313,47 @@ def test_texts_meet_by_digest(spark):
     for line in keys:
         part = line.split("hashpartitioning(")[1].split(")")[0] if "hashpartitioning(" in line else line.split("Sort [")[1].split("]")[0]
         assert "text" not in part
+
+
+def test_panels_equal_the_reports_on_rows(spark):
+    """Nulls in every column, ties, the last second of a day, runs, and no rows."""
+    day = dt.datetime
+    times = [day(2024, 1, 1), day(2024, 1, 4, 23, 59, 59, 500000), day(2024, 1, 4, 23, 59, 59), day(2024, 1, 9), None]
+    values = [0.5, -0.1, 0.0, None, 1.0, -1.0, 0.3333]
+    rows = [
+        ("r" if i % 2 else None, ("a", "b", None)[i % 3], (0, 1, None)[i // 3 % 3], values[i % 7], values[(i + 1) % 7],
+         values[(i + 2) % 7], values[(i + 3) % 7], times[i % 5])
+        for i in range(400)
+    ]
+    table = spark.createDataFrame(
+        rows,
+        "run_id string, source string, topic_id int, sentiment_compound double, sentiment_positive double, "
+        "sentiment_neutral double, sentiment_negative double, processed_at timestamp_ntz",
+    )
+    for results_ in (table, table.repartition(5), table.drop("run_id"), table.filter("source = 'none'")):
+        sums = panels.panel_sums(results_)
+        if results_ is table:
+            assert sums.columns == [part.split()[0] for part in panels.SUMS.split(", ")]
+        for of_rows, of_sums in (
+            (results_, sums),
+            (report.in_days(results_, "2024-01-01", "2024-01-04"), panels.in_days(sums, "2024-01-01", "2024-01-04")),
+            (report.in_days(results_, "2024-01-04", "2024-01-03"), panels.in_days(sums, "2024-01-04", "2024-01-03")),
+            (report.last_week(results_), panels.last_week(sums)),
+        ):
+            for name in ("overview", "any_nonzero", "group_mean_count", "mean_components", "histogram", "topics_by_source"):
+                expected, found = (getattr(module, name)(frame) for module, frame in ((report, of_rows), (panels, of_sums)))
+                assert sorted(map(str, tuples(expected))) == sorted(map(str, tuples(found))), name
+            for key in ("source", "topic_id"):
+                assert tuples(report.mean_by(of_rows, key)) == tuples(panels.mean_by(of_sums, key))
+
+
+def test_panels_read_results_once(spark):
+    """No panel's plan scans the results: only their sums, and a shuffle of groups."""
+    table = results(spark, [("a", 0, 0.5, NOW)]).withColumns(
+        {f"sentiment_{c}": F.lit(0.5) for c in ("positive", "neutral", "negative")}
+    )
+    topic_rows = spark.createDataFrame([(0, ["x", "y"], NOW)], "topic_id int, topic_keywords array<string>, created_at timestamp_ntz")
+    for name, panel in dashboard.reports(table, topic_rows).items():
+        plan = panel._jdf.queryExecution().optimizedPlan().toString()
+        assert "sentiment_compound" not in plan, name
+        assert panel.count() > 0, name

@@ -52,6 +52,12 @@ def test_two_runs_append(spark, tmp_path):
     for panel in panels.values():
         assert panel.count() > 0
 
+    stored = dashboard.stored_reports(spark, root)
+    assert stored.keys() == panels.keys()
+    for name, panel in stored.items():
+        assert sorted(map(str, panel.collect())) == sorted(map(str, panels[name].collect())), name
+        assert "sentiment_compound" not in panel._jdf.queryExecution().optimizedPlan().toString()
+
     plan = one.select("sentiment_compound").filter("source = 'news'")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in text and "source" in text.split("PartitionFilters")[1]

@@ -146,13 +146,18 @@ def mean_components(results: DataFrame) -> DataFrame:
     )
 
 
+def bin_of(value: Column) -> Column:
+    """One of twenty bins of width 0.1 from -1 on; 1.0 falls into the last, null into none."""
+    steps = F.floor(value * 10_000 + 0.5).cast("long") + 10_000
+    place = F.least(F.floor(steps / (2 * 10_000 // BINS)), F.lit(BINS - 1)).cast("int")
+    return F.when(value.isNotNull(), place)
+
+
 def histogram(results: DataFrame) -> DataFrame:
-    """Counts per source in twenty bins of width 0.1; 1.0 falls into the last."""
-    steps = F.floor(F.col(COMPOUND) * 10_000 + 0.5).cast("long") + 10_000
-    bin_ = F.least(F.floor(steps / (2 * 10_000 // BINS)), F.lit(BINS - 1)).cast("int")
+    """Counts per source and bin."""
     return (
         results.filter(F.col(COMPOUND).isNotNull())
-        .groupBy("source", bin_.alias("bin"))
+        .groupBy("source", bin_of(F.col(COMPOUND)).alias("bin"))
         .agg(_rows().alias("n"))
     )
 

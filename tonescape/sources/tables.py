@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tonescape import schemas
+from tonescape.operators.panels import SUMS, panel_sums
 
 RAW_POSTS = "raw_reddit_posts"
 RAW_TWEETS = "raw_twitter_posts"
 RAW_HEADLINES = "raw_news_articles"
 SENTIMENT = "sentiment_analysis"
 TOPICS = "topics"
+#: Results of each run summed up for the panels.
+PANELS = "panel_sums"
 
 #: Finished runs: times of their first and last result, and how many there are.
 RUN_LOG = "run_log"
@@ -35,6 +38,7 @@ LAYOUT: dict[str, tuple[str, list[str]]] = {
     RAW_HEADLINES: (f"{schemas.HEADLINES}, run_id string", ["run_id", "source"]),
     SENTIMENT: (schemas.SENTIMENT_ANALYSIS, ["run_id", "source"]),
     TOPICS: (schemas.TOPICS, ["run_id"]),
+    PANELS: (SUMS, ["run_id"]),
 }
 
 
@@ -72,9 +76,15 @@ def append_if_any(df: DataFrame, root: str, table: str, run_id: str) -> int:
 
 
 def finish_run(spark: SparkSession, root: str, run_id: str) -> None:
-    """Log a run, after its last table is written; one column of its results is read."""
-    times = read_table(spark, root, SENTIMENT, run_id).agg(
-        F.min("processed_at").alias("first_time"), F.max("processed_at").alias("last_time"), F.count(F.lit(1)).alias("n")
+    """Sum up a run's results for the panels, then log it; its last table must be written.
+
+    The results are read once, without texts; the log is made from the sums.
+    """
+    append_table(panel_sums(read_table(spark, root, SENTIMENT, run_id)), root, PANELS, run_id)
+    times = read_table(spark, root, PANELS, run_id).agg(
+        F.min("first_time").alias("first_time"),
+        F.max("last_time").alias("last_time"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
     )
     append_rows(times.coalesce(1), _run_folder(root, RUN_LOG, run_id), mode="overwrite")
 
@@ -84,6 +94,11 @@ def run_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_RUN_LOG).parquet(f"{root}/{RUN_LOG}")
 
 
+def read_sums(spark: SparkSession, root: str) -> DataFrame:
+    """Sums of all finished runs, for the panels."""
+    return read_table(spark, root, PANELS).join(run_log(spark, root).select("run_id"), "run_id", "left_semi")
+
+
 def read_days(spark: SparkSession, root: str, start: dt.date | str, end: dt.date | str) -> DataFrame:
     """Results of finished runs from the start of one day to the end of another.
 
