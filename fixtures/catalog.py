@@ -13,7 +13,7 @@ from fixtures.oracle import decoded, lit, mean, statement
 from tonescape.functions import scalar
 from tonescape.functions.sentiment import score
 from tonescape.functions.text import SPACE, TERM, WORD, strip_space
-from tonescape.operators import enrich, graph, panels, report, scoring, topics, unify
+from tonescape.operators import enrich, frequent, graph, panels, report, scoring, topics, unify
 from tonescape.plans import dashboard
 from tonescape.session import shared_dir
 from tonescape.sources import headlines as hl
@@ -878,7 +878,7 @@ _ALL_TERMS = f"(select unnest(regexp_extract_all(lower(text), '{TERM}')) w from
 
 @query(f"select w term, count(*) n from {_ALL_TERMS} group by w")
 def tokenize_counts(spark, sf_dir):
-    return topics.token_counts(v.documents(spark, sf_dir))
+    return frequent.token_counts(v.documents(spark, sf_dir))
 
 
 @query(
@@ -888,7 +888,7 @@ def tokenize_counts(spark, sf_dir):
 def stopword_filter(spark, sf_dir):
     """The twenty most frequent terms serve as the stop words."""
     stop_words = [r.term for r in v.vocab(spark, sf_dir, 20).collect()]
-    return topics.drop_stop_words(topics.token_counts(v.documents(spark, sf_dir)), stop_words)
+    return topics.drop_stop_words(frequent.token_counts(v.documents(spark, sf_dir)), stop_words)
 
 
 _TOP = f"""select w term, count(*) n, cast(row_number() over (order by count(*) desc, w) as integer)
@@ -897,7 +897,7 @@ _TOP = f"""select w term, count(*) n, cast(row_number() over (order by count(*)
 
 @query(_TOP)
 def vocabulary_topk(spark, sf_dir):
-    return topics.vocabulary(topics.token_counts(v.documents(spark, sf_dir)), 1000)
+    return frequent.frequent_terms(v.documents(spark, sf_dir), 1000)
 
 
 @query(

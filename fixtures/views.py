@@ -13,14 +13,9 @@ from tonescape.functions.scalar import ntz
 from tonescape.functions.sentiment import Lexicon
 from tonescape.functions.text import title_of
 from tonescape.operators.enrich import topic_enrich
+from tonescape.operators.frequent import token_counts, vocabulary
 from tonescape.operators.panels import panel_sums
-from tonescape.operators.topics import (
-    TopicModel,
-    TopicOptions,
-    fit_topics,
-    token_counts,
-    vocabulary,
-)
+from tonescape.operators.topics import TopicModel, TopicOptions, fit_topics
 from tonescape.operators.unify import unify_all
 from tonescape.session import stage
 from tonescape.sources.headlines import Profile, extract_headlines

@@ -1,7 +1,9 @@
 """Ties, nulls, duplicates and skew on hand-made rows."""
 
+import collections
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import Row
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tonescape.functions import scalar
 from tonescape.functions.sentiment import Lexicon
-from tonescape.operators import enrich, fold_in, graph, panels, report, topics, unify
+from tonescape.operators import enrich, fold_in, frequent, graph, panels, report, topics, unify
 from tonescape.operators.lookup import hot_keys, lookup_join
 from tonescape.operators.numbering import number_rows
 from tonescape.operators.ranking import first_per_group
@@ -243,7 +245,7 @@ def test_fit_does_not_depend_on_partitions(spark):
 def test_held_out_perplexity_falls(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     learnt, held = (docs.filter(F.col("doc_id") % 5 == 0 if x else F.col("doc_id") % 5 != 0) for x in (0, 1))
-    rows = topics.vocabulary(topics.token_counts(learnt), 500).collect()
+    rows = frequent.vocabulary(frequent.token_counts(learnt), 500).collect()
     vocab = sorted(r.term for r in rows)
     learnt, held = (fold_in.term_vectors(d, vocab).select("_places", "_times").cache() for d in (learnt, held))
     priors, found = fold_in.Priors(), []
@@ -357,3 +359,41 @@ def test_panels_read_results_once(spark):
         plan = panel._jdf.queryExecution().optimizedPlan().toString()
         assert "sentiment_compound" not in plan, name
         assert panel.count() > 0, name
+
+
+def _plain_vocabulary(texts, size):
+    counts = collections.Counter(w for t in texts if t for w in t.split())
+    ranked = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]
+    return [(term, n, place + 1) for place, (term, n) in enumerate(ranked)]
+
+
+def _ranked(frame):
+    return sorted(tuples(frame), key=lambda r: r[2])
+
+
+def test_frequent_terms_by_bounded_summaries(spark, monkeypatch):
+    """Few frequent terms among many that stand once; ties at the end; nulls and empty texts."""
+    random.seed(5)
+    texts = [None, ""]
+    for i in range(3000):
+        common = [f"common{min(int(random.paretovariate(0.7)), 60)}" for _ in range(20)]
+        texts.append(" ".join([*common, *(f"rare{i}_{j}" for j in range(15))]))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(6)
+    rows = frequent.summaries(docs, 200).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in rows) <= 401
+    error = frequent.summaries(docs, 200).filter("term is null").agg(F.sum("n")).first()[0]
+    assert 0 < error <= 3000 * 35 / 201
+    assert frequent.candidates(docs, 10, 200).count() < 400
+    monkeypatch.setattr(frequent, "token_counts", lambda *a: 1 / 0)  # not all terms are counted
+    for size, capacity in ((1, 200), (10, 200), (10, 1000), (30, 2000), (100, None)):
+        assert _ranked(frequent.frequent_terms(docs, size, capacity=capacity)) == _plain_vocabulary(texts, size)
+    empty = docs.filter("text = 'none'")
+    assert frequent.frequent_terms(empty, 5).count() == 0 == frequent.frequent_terms(docs.filter("text = ''"), 5).count()
+
+
+def test_frequent_terms_counts_all_where_summaries_cannot_tell(spark):
+    """Every term as frequent as any other: ties by term decide."""
+    texts = [" ".join(f"t{(i * 37 + j) % 900:03}" for j in range(30)) for i in range(900)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    assert frequent.candidates(docs, 20, 10) is None and frequent.candidates(docs, 20, 80) is None
+    assert _ranked(frequent.frequent_terms(docs, 20, capacity=10)) == _plain_vocabulary(texts, 20)

@@ -21,6 +21,7 @@ from tonescape import schemas
 from tonescape.functions.scalar import argmax, ntz, topic_name
 from tonescape.functions.text import terms
 from tonescape.operators import fold_in
+from tonescape.operators.frequent import frequent_terms
 from tonescape.session import option_table, stage
 
 @dataclass(frozen=True)
@@ -52,32 +53,11 @@ def stop_word_list(options: TopicOptions, spark: SparkSession) -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    return (
-        docs.select(F.explode(terms(F.col(text))).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 def drop_stop_words(counts: DataFrame, stop_words: Sequence[str]) -> DataFrame:
     words = option_table(counts.sparkSession, [(w,) for w in stop_words], "term string")
     return counts.join(words, "term", "left_anti")
 
 
-def vocabulary(counts: DataFrame, max_features: int) -> DataFrame:
-    """The most frequent terms, ties by term, with their rank from 1."""
-    top = counts.orderBy(F.col("n").desc(), "term").limit(max_features)
-    ranked = top.agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "term"))).alias("all")
-    )
-    return ranked.select(F.posexplode("all").alias("pos", "t")).select(
-        F.col("t.term").alias("term"),
-        (-F.col("t.m")).alias("n"),
-        (F.col("pos") + 1).alias("rank"),
-    )
-
-
 def doc_term_counts(docs: DataFrame, vocab: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Counts of vocabulary terms per document; a document is combined before the shuffle."""
     return (
@@ -175,9 +155,10 @@ def fit_topics(
     spark = docs.sparkSession
     if docs.select(text).limit(options.min_texts).count() < options.min_texts:
         return None
-    counts = drop_stop_words(token_counts(docs, text), stop_word_list(options, spark))
-    rows = vocabulary(counts, options.max_features).select("term").collect()
-    vocab = sorted(r.term for r in rows)
+    stop_words = set(stop_word_list(options, spark))
+    # So many terms hold the most frequent others, whichever of the stop words are among them.
+    rows = frequent_terms(docs, options.max_features + len(stop_words), text).orderBy("rank").select("term").collect()
+    vocab = sorted([r.term for r in rows if r.term not in stop_words][: options.max_features])
     if not vocab:
         return None
     if options.method == "online":
