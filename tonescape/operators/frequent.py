@@ -21,7 +21,7 @@ from tonescape.functions.text import terms
 from tonescape.session import stage
 
 #: Terms a task keeps for each one asked for, and at least.
-PER_TERM, AT_LEAST = 64, 1 << 16
+PER_TERM, AT_LEAST = 32, 1 << 15
 #: How much larger the summaries of a second attempt are.
 GROWTH = 8
 
@@ -66,13 +66,15 @@ def _summarise(batches: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.
             counts[term] = counts.get(term, 0) + n
             if len(counts) > 2 * capacity:
                 taken += _purge(counts, capacity)
+    if len(counts) > capacity:
+        taken += _purge(counts, capacity)
     # The row without a term is the task's error bound.
     names, numbers = [None, *counts], [taken, *counts.values()]
     yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(numbers, pa.int64())], names=["term", "n"])
 
 
 def summaries(docs: DataFrame, capacity: int, text: str = "text") -> DataFrame:
-    """term and n, at most ``2 * capacity`` rows a task; n of the null term is a task's error.
+    """term and n, at most ``capacity`` + 1 rows a task; n of the null term is a task's error.
 
     The errors of all tasks add up to at most the number of all terms / (capacity + 1).
     """
