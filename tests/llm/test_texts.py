@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 import zlib
 
 import numpy as np
@@ -247,6 +248,7 @@ def test_benchmark_edits(spark, frame):
     assert got[0]["items"] == [7] and got[0].spans == f"400:{400 + len(item)}"
     kept = qgram_match.without_benchmark(docs, items)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {2, 3, 4}
+    assert {r.found for r in kept.collect()} == {"x"}  # the table's own column of that name
     parts = qgram_match.contaminated(docs, items, qgram_match.MatchOptions(part_chars=160)).collect()
     assert {r.doc_id for r in parts if r.contaminated} == {0, 1}
     assert {r.contaminated for r in qgram_match.contaminated(docs, items.limit(0)).collect()} == {False}
@@ -279,6 +281,30 @@ def test_benchmark_items_of_every_length(spark, frame):
     assert all(got[m].spans == f"30:{30 + m}" for m in items)
 
 
+def test_short_benchmark_items(spark, frame):
+    """Items below a q-gram's length, at word bounds, against a plain search."""
+    items = {0: "maybe 12", 1: "é", 2: "a", 3: "(b)", 4: " X  y ", 5: "日本", 6: "", 7: " \n ", 8: "a", 9: "12345678", 10: "?", 11: "no_way"}
+    rnd = random.Random(6)
+    pieces = ["maybe 12", "MAYBE\n12", "maybe 123", "é", "caféé", "a", "A", "ab", "_a", "(b)", "c(b)d", "x \t y", "x y", "xx y", "日本", "日本語",
+              "12345678", "123456789", "?", "so?", "no_way", "no way", "😀a", "’a’", " ", ".", "-"]
+    texts = [None, "", "a", *pieces, "call me maybe 12", *("".join(rnd.choice([*pieces, " ", " "]) for _ in range(12)) for _ in range(150))]
+    texts.append("b " * 200_000 + "a " + "b" * 200_000)
+    expected = {}
+    for doc, text in enumerate(texts):
+        plain = re.sub(r"[ \t\n\v\f\r]+", " ", text or "").lower()
+        whole = {i: re.sub(r"\s+", " ", t.strip()).lower() for i, t in items.items()}
+        expected[doc] = sorted(
+            i for i, t in whole.items()
+            if t and re.search((r"(?<!\w)" if re.match(r"\w", t) else "") + re.escape(t) + (r"(?!\w)" if re.search(r"\w$", t) else ""), plain)
+        )
+    benchmark = spark.createDataFrame([*items.items(), (12, None)], "item_id long, text string")
+    docs = frame([(i, t, "a") for i, t in enumerate(texts)])
+    got = {r.doc_id: r for r in qgram_match.contaminated(docs, benchmark).collect()}
+    assert {d: list(r["items"]) for d, r in got.items()} == expected
+    assert got[texts.index("call me maybe 12")].spans == "8:16"
+    assert sum(map(bool, expected.values())) > 50
+
+
 def test_band_distance_is_the_edit_distance():
     rnd = random.Random(2)
     for _ in range(30):

@@ -8,12 +8,15 @@ within its diagonals, and stays if the edits are within the budget.
 
 Long benchmark items are cut into overlapping segments, so a part of an item is found too.
 Where the edits allowed leave no q-gram of the usual size for sure, shorter q-grams are
-counted. Letters are compared without case, and runs of white space as one blank.
+counted. Items shorter than a q-gram are found by hash, as they stand, at word bounds.
+Letters are compared without case, and runs of white space as one blank.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -31,7 +34,7 @@ _BITS = 22
 
 @dataclass(frozen=True)
 class MatchOptions:
-    """``q``: characters of a q-gram at most, and of an item at least; ``segment``: characters
+    """``q``: characters of a q-gram at most; ``segment``: characters
     compared at a time, one every half of that; ``edits``: edits allowed per character.
     ``part_chars``: characters of the benchmark that tasks hold at a time; a larger one is
     matched in several passes."""
@@ -110,10 +113,63 @@ def build_index(items: list[tuple[int, str]], o: MatchOptions) -> Index:
     return Index(np.array(owner, np.int64), segments, hashes, first, of[order], offset[order], seen)
 
 
+@dataclass
+class ShortIndex:
+    """Items of one length below that of a q-gram, by their hash."""
+
+    item: np.ndarray
+    codes: np.ndarray
+    hashes: np.ndarray
+
+
+def build_short_indexes(items: list[tuple[int, str]], o: MatchOptions) -> list[ShortIndex]:
+    """One index for each length from 1 to ``o.q`` - 1; items without a character have none."""
+    own: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for item, text in items:
+        codes, _ = normalised(text.strip())
+        if 0 < len(codes) < o.q:
+            own.setdefault(len(codes), []).append((item, codes))
+    found = []
+    for m in sorted(own):
+        codes = np.stack([c for _, c in own[m]])
+        hashes = np.array([gram_hashes(c, m)[0] for c in codes], np.uint64)
+        order = np.argsort(hashes, kind="stable")
+        found.append(ShortIndex(np.array([i for i, _ in own[m]], np.int64)[order], codes[order], hashes[order]))
+    return found
+
+
+@functools.cache
+def _word_table() -> np.ndarray:
+    """Which code points are letters, digits or the underscore; the last entry stands for none."""
+    table = np.fromiter((chr(c).isalnum() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+    table[ord("_")] = True
+    return np.append(table, False)
+
+
+def short_matches(codes: np.ndarray, row_of: np.ndarray, index: ShortIndex) -> list[tuple[int, int, int, int]]:
+    """(row, item, start, end) where an item stands and no word goes on beyond its ends."""
+    m = index.codes.shape[1]
+    if len(codes) < m:
+        return []
+    grams = gram_hashes(codes, m)
+    low = np.searchsorted(index.hashes, grams)
+    at = np.flatnonzero(index.hashes[np.minimum(low, len(index.hashes) - 1)] == grams)
+    word = _word_table()[codes]  # -1 between rows is the last entry
+    padded = np.concatenate([[False], word, [False]])
+    inner = ~(padded[at] & word[at]) & ~(word[at + m - 1] & padded[at + m + 1])
+    at = at[inner]
+    count = np.searchsorted(index.hashes, grams[at], side="right") - low[at]
+    place = np.arange(count.sum()) + np.repeat(low[at] - (np.cumsum(count) - count), count)
+    at = np.repeat(at, count)
+    same = (codes[at[:, None] + np.arange(m)] == index.codes[place]).all(1)
+    at, item = at[same], index.item[place[same]]
+    return list(zip(row_of[at].tolist(), item.tolist(), at.tolist(), (at + m).tolist()))
+
+
 def build_indexes(items: list[tuple[int, str]], o: MatchOptions) -> list[tuple[Index, MatchOptions]]:
     """One index for each size of q-grams, with that size as its options' ``q``.
 
-    Only items shorter than ``o.q`` characters once normalised are not searched for.
+    Items shorter than ``o.q`` characters once normalised are left to ``build_short_indexes``.
     """
     own: dict[int, list[tuple[int, str]]] = {}
     for item, text in items:
@@ -210,7 +266,10 @@ _FOUND = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("e
 
 
 def _match(
-    batches: Iterator[pa.RecordBatch], indexes: list[tuple[Index, MatchOptions]], o: MatchOptions
+    batches: Iterator[pa.RecordBatch],
+    indexes: list[tuple[Index, MatchOptions]],
+    short: list[ShortIndex],
+    o: MatchOptions,
 ) -> Iterator[pa.RecordBatch]:
     gap = np.full(o.segment, -1, np.int64)
     for batch in batches:
@@ -228,6 +287,7 @@ def _match(
                 at += 1
             place, codes, row_of = np.concatenate(places), np.concatenate(parts), np.concatenate(rows)
             hits = {hit for index, own in indexes for hit in matches(codes, row_of, index, own)}
+            hits.update(hit for index in short for hit in short_matches(codes, row_of, index))
             for row, item, start, stop in sorted(hits):
                 found[row].append({"item_id": item, "start": int(place[start]), "end": int(place[stop - 1]) + 1})
         found = [sorted(f, key=lambda x: (x["start"], x["item_id"], x["end"])) for f in found]
@@ -241,8 +301,9 @@ def match(docs: DataFrame, benchmark: DataFrame, o: MatchOptions = MatchOptions(
     """All columns of ``docs`` and ``found``: (item_id, start, end) of benchmark segments.
 
     Offsets are code points of the text, ends exclusive, sorted by start. Null and empty texts
-    have none; null benchmark texts are not searched for, nor are ones shorter than ``q``
-    characters once normalised; all longer ones are, within the edits allowed for their length.
+    have none; null and blank benchmark texts are not searched for. All others are, within the
+    edits allowed for their length; those shorter than ``q`` characters allow none, and no letter
+    or digit may go on with a word beyond their ends. Very long texts are matched whole.
     A null item_id is -1. Repeated rows are matched each; items that repeat are each reported.
     An empty benchmark finds nothing, and an empty table gives no rows. A column of ``docs``
     that is called ``found`` is replaced. Narrow: no shuffle. The benchmark's size is taken
@@ -255,10 +316,11 @@ def match(docs: DataFrame, benchmark: DataFrame, o: MatchOptions = MatchOptions(
     docs = docs.drop("found")
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
-        indexes = build_indexes(sorted((r["item_id"], r["text"]) for r in own), o)
+        texts = sorted((r["item_id"], r["text"]) for r in own)
+        indexes, short = build_indexes(texts, o), build_short_indexes(texts, o)
         kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "found")
         schema = f"{kept}, found array<struct<item_id:long,start:long,end:long>>"
-        docs = docs.mapInArrow(lambda it, indexes=indexes: _match(it, indexes, o), schema)
+        docs = docs.mapInArrow(lambda it, indexes=indexes, short=short: _match(it, indexes, short, o), schema)
     return docs
 
 
@@ -285,5 +347,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, o: MatchOptions = MatchO
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, o: MatchOptions = MatchOptions()) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no benchmark segment is found. Narrow."""
-    return match(docs, benchmark, o).where(F.size("found") == 0).select(*docs.columns)
+    """The rows of ``docs``, all columns, in which no benchmark segment is found. Narrow.
+
+    Columns of any name pass through as they are, one called ``found`` too. Null and empty
+    texts and repeated rows stay.
+    """
+    inner = {name: name if name == "text" else f"c{i}" for i, name in enumerate(docs.columns)}
+    rows = docs.select(*(F.col(name).alias(other) for name, other in inner.items()))
+    clean = match(rows, benchmark, o).where(F.size("found") == 0)
+    return clean.select(*(F.col(other).alias(name) for name, other in inner.items()))
