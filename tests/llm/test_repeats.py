@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tests.llm import brute
@@ -134,3 +135,12 @@ def test_similar_sets_hard(frame, hard_rows):
 
 def test_runs_follow_recall():
     assert chosen_path.JoinOptions(recall=0.9).runs < chosen_path.JoinOptions(recall=0.999).runs
+
+
+def test_runs_reach_the_recall_at_the_last_level():
+    for depth, last, recall in ((3, 4, 0.99999), (2, 6, 0.99), (3, 3, 0.999)):
+        chance = 1.0
+        for _ in range(last):
+            chance = 1 - np.exp(-chance)
+        runs = chosen_path.JoinOptions(depth=depth, max_depth=last, recall=recall).runs
+        assert (1 - chance) ** runs <= 1 - recall < (1 - chance) ** (runs - 1)

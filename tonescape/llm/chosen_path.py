@@ -49,10 +49,11 @@ class JoinOptions:
         """Runs after which a pair at the limit has met with chance ``recall``.
 
         The children that two such sets share are at least Poisson(1), so the chance to share
-        a path of d levels is 1 - exp(-chance of d - 1), at the first depth that may be final.
+        a path of d levels is 1 - exp(-chance of d - 1). Counted for the last level, so it holds
+        for pairs that only meet in buckets split that far.
         """
         chance = 1.0
-        for _ in range(self.depth):
+        for _ in range(max(self.depth, self.max_depth)):
             chance = 1 - math.exp(-chance)
         return math.ceil(math.log(1 - self.recall) / math.log(1 - chance))
 
