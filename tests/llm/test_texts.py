@@ -348,6 +348,50 @@ def test_licences_hard(frame, licences):
     assert licence_scan.scan(frame([]), licences).collect() == []
 
 
+def test_licences_need_no_cue_word(frame, licences):
+    """Lines of a notice that name no licence are judged like all others."""
+    lines = [
+        "Redistribution and use in source and binary forms, with or", "without modification, are permitted provided that the",
+        "the documentation of the house in the park",
+    ]
+    got = {r.doc_id: r for r in licence_scan.scan(frame([(i, t, "a") for i, t in enumerate(lines)]), licences).collect()}
+    assert [tuple(got[i].licences) for i in range(3)] == [("BSD",), ("BSD",), ()]
+
+
+def test_licences_like_a_plain_reading(frame, licences):
+    """Every line of every text through the plain classifier: none is left out before it."""
+    rnd = random.Random(7)
+    words = sorted({w for g in licences.weights for w in g.split()})
+    every = [t for texts in licence_scan.NOTICES.values() for t in texts] + list(licence_scan.OTHERS)
+    lines = [" ".join(rnd.choices(words, k=rnd.randrange(1, 9))) for _ in range(150)]
+    for text in every:
+        cut = text.split()
+        lines += [text, " ".join(cut[: len(cut) // 2]), " ".join(cut[len(cut) // 2 :]), " ".join([*cut, *rnd.choices(words, k=4)])]
+
+    def family(line):
+        own = licence_scan.grams(line)
+        sums = [sum(licences.weights[g][k] for g in own if g in licences.weights) for k in range(len(licences.families))]
+        z = (np.array(sums) / max(len(own), 1) ** 0.5 + licences.bias) / licences.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        return licences.families[int(np.argmax(z))] if p.max() >= licences.options.least else licence_scan.UNKNOWN
+
+    def confirmed(line, name):
+        pairs = {g for g in licence_scan.grams(line) if g.count(" ") == 1}
+        for text in licence_scan.NOTICES[name]:
+            own = {g for g in licence_scan.grams(text) if g.count(" ") == 1}
+            if pairs and len(pairs & own) / min(len(pairs), len(own)) >= licences.options.overlap:
+                return True
+        return False
+
+    named = {i: name for i, line in enumerate(lines) if (name := family(line)) != licence_scan.UNKNOWN}
+    expected = {i: (1, 0, [n]) if confirmed(lines[i], n) else (0, 1, []) for i, n in named.items()}
+    got = licence_scan.scan(frame([(i, t, "a") for i, t in enumerate(lines)]), licences).collect()
+    found = {r.doc_id: (r.n_notices, r.n_unconfirmed, r.licences) for r in got if r.n_notices or r.n_unconfirmed}
+    assert found == expected and len(expected) > 50
+    cues = re.compile(licence_scan.pattern_of(licence_scan.needed_grams(licences)))
+    assert all(cues.search(lines[i].lower()) for i in named)
+
+
 # --- Toxicity -------------------------------------------------------------------------------
 
 

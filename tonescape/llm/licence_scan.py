@@ -3,11 +3,13 @@
 A paragraph's word n-grams (one to three words) go through a multinomial logistic
 regression over licence families and an unknown class. Its probabilities are calibrated
 with a temperature, and a prediction stands only if a published notice of that family
-shares enough word pairs with the paragraph.
+shares enough word pairs with the paragraph. A paragraph is a line.
 
 The model is small and trained in numpy from the notices below, cut, joined and disturbed.
 Scanning is SQL throughout: n-grams are rows that meet the weights in a broadcast join
-(the weights are bounded by the notices' n-grams).
+(the weights are bounded by the notices' n-grams). No list of words decides what is judged:
+lines are left out only where the weights themselves prove that the answer is unknown
+(``needed_grams``).
 """
 
 from __future__ import annotations
@@ -112,11 +114,6 @@ OTHERS = (
     "The permission of the author and the public is asked for.",
 )
 
-#: Paragraphs without any of these cannot be a notice.
-CUES = (
-    r"(?i)licen[sc]|copyright|warrant|rights reserved|permission|redistribut|creative commons|public domain|"
-    r"\bcc[ -]by|\bcc0|\b[al]?gpl\b|\bmpl\b|\bbsd\b|spdx|proprietary|confidential"
-)
 _WORD = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 _PY_WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
@@ -221,6 +218,67 @@ def _in_notices(gram: str, known: set = set()) -> bool:
     return gram in known
 
 
+# --- What a prediction needs ------------------------------------------------------------------
+
+# They only decide which of two n-grams is named first; any order gives a complete set.
+_COMMON = frozenset(
+    "the of is and under or a can are to this may in any that an not without with for by be have into all one it on "
+    "from at as you your no was he she they its".split()
+)
+
+
+def needed_grams(model: LicenceModel) -> list[str]:
+    """N-grams of which every paragraph that the model gives a family has at least one.
+
+    A family needs the logit of the unknown class at least. Of n-grams outside this list let
+    a paragraph have ``a`` words and ``k`` longer ones. It has at least a distinct words, a - 1
+    pairs and a - 2 triples, so max(a + k, 3 * a - 3) n-grams, and its lead over unknown is at
+    most the sum of the a and the k largest leads of their weights, over the root of that, plus
+    the biases' difference. N-grams are listed until that is below 0 for all a and k.
+    """
+    names = list(model.weights)
+    weights, bias = np.array([model.weights[g] for g in names]), np.array(model.bias)
+    lead, gap = weights[:, :-1] - weights[:, -1:], bias[-1] - bias[:-1] - 1e-3
+    single = np.array([" " not in g for g in names])
+    common = np.array([all(w in _COMMON for w in g.split()) for g in names])
+    liking = np.where(common, np.where(single, 0.05, 0.5), 1.0)
+    listed = np.zeros(len(names), bool)
+
+    def most(family: int) -> float:
+        own = np.where(listed, 0, np.maximum(lead[:, family], 0))
+        words, longer = (np.append(0, np.cumsum(x[x > 0])) for x in (-np.sort(-own[single]), -np.sort(-own[~single])))
+        a, k = np.ogrid[: len(words), : len(longer)]
+        return float(((words[a] + longer[k]) / np.sqrt(np.maximum(1, np.maximum(a + k, 3 * a - 3)))).max())
+
+    for family in range(lead.shape[1]):
+        while most(family) >= gap[family]:
+            if listed[lead[:, family] > 0].all():
+                raise ValueError("the biases alone give a family")
+            listed[int(np.argmax(np.where(listed, -1, np.maximum(lead[:, family], 0) * liking)))] = True
+    return [g for g, own in zip(names, listed) if own]
+
+
+def pattern_of(phrases: list[str]) -> str:
+    """A pattern that every lower-cased line with one of the phrases as its words matches.
+
+    Others may match too: only ASCII letters and digits count as parts of a word.
+    """
+    tree: dict = {}
+    for phrase in phrases:
+        node = tree
+        for char in phrase:
+            node = node.setdefault(char, {})
+        node[""] = {}
+
+    def branch(node: dict) -> str:
+        pieces = [
+            "(?![a-z0-9])" if c == "" else ("[^a-z0-9]+" if c == " " else re.escape(c)) + branch(node[c]) for c in sorted(node)
+        ]
+        return pieces[0] if len(pieces) == 1 else f"(?:{'|'.join(pieces)})"
+
+    return "(?<![a-z0-9])" + branch(tree)
+
+
 # --- Scan -----------------------------------------------------------------------------------
 
 
@@ -232,74 +290,84 @@ def _runs(words: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc, text_hash, place, grams, pairs of the paragraphs (lines) that have a cue."""
-    cued = docs.where(F.col("text").rlike(CUES)).select("doc", "text_hash", "text").dropDuplicates(["doc", "text_hash"])
-    lines = cued.select("doc", "text_hash", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    words = lines.where(F.col("line").rlike(CUES)).select(
-        "doc", "text_hash", "place", F.expr(f"regexp_extract_all(lower(line), r'{_WORD}', 0)").alias("words")
-    )
+def paragraphs(docs: DataFrame, model: LicenceModel) -> DataFrame:
+    """doc, text_hash, place, n (n-grams), n_pairs and the model's n-grams ``known`` of the
+    paragraphs (lines) that can have a family.
+
+    All others are unknown to the model (``needed_grams``). Rows that repeat give one line each.
+    """
+    possible = pattern_of(needed_grams(model))
+    key = ["doc", "text_hash", "place"]
+    lines = docs.select("doc", "text_hash", F.posexplode(F.split(F.lower("text"), "\n")).alias("place", "line"))
     word = F.col("words")
-    return words.select(
-        "doc",
-        "text_hash",
-        "place",
-        F.array_distinct(F.concat(word, _runs(word, 2), _runs(word, 3))).alias("grams"),
-        F.array_distinct(_runs(word, 2)).alias("pairs"),
+    words = lines.where(F.col("line").rlike(possible)).dropDuplicates(key).select(
+        *key, F.regexp_extract_all("line", F.lit(_WORD), F.lit(0)).alias("words")
     )
+    parts = words.select(
+        *key, F.array_distinct(word).alias("ones"), F.array_distinct(_runs(word, 2)).alias("pairs"),
+        F.array_distinct(_runs(word, 3)).alias("triples"),
+    )
+    grams, names = F.concat("ones", "pairs", "triples"), F.array(*(F.lit(g) for g in model.weights))
+    return parts.select(*key, F.size(grams).alias("n"), F.size("pairs").alias("n_pairs"), F.array_intersect(grams, names).alias("known"))
 
 
 def classify(lines: DataFrame, model: LicenceModel) -> DataFrame:
-    """doc, text_hash, place, family, probability, confirmed for each of ``paragraphs``."""
+    """doc, text_hash, place, family, probability, confirmed for each of ``paragraphs``.
+
+    Those without any of the model's n-grams are unknown, and left out.
+    """
     spark: SparkSession = lines.sparkSession
     key = ["doc", "text_hash", "place"]
+    own = [*key, "n", "n_pairs", "known"]
     weights = F.broadcast(spark.createDataFrame([(g, list(w)) for g, w in model.weights.items()], "gram string, w array<double>"))
-    rows = lines.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    sums = [F.sum(F.round(F.coalesce(F.col("w")[k], F.lit(0.0)) * 1_000_000).cast("long")).alias(f"s{k}") for k in range(len(model.families))]
-    scored = rows.join(weights, "gram", "left").groupBy(*key).agg(F.first("n").alias("n"), *sums)
+    rows = lines.select(*own, F.explode("known").alias("gram"))
+    sums = [F.sum(F.round(F.col("w")[k] * 1_000_000).cast("long")).alias(f"s{k}") for k in range(len(model.families))]
+    scored = rows.join(weights, "gram").groupBy(*own).agg(*sums)
     logits = [
         ((F.col(f"s{k}") / 1_000_000 / F.sqrt("n") + F.lit(b)) / model.temperature) for k, b in enumerate(model.bias)
     ]
-    scored = scored.select(*key, F.array(*logits).alias("z"))
+    scored = scored.select(*own, F.array(*logits).alias("z"))
     top = F.array_max("z")
     total = F.aggregate("z", F.lit(0.0), lambda s, z: s + F.exp(z - top))
     place = F.array_position("z", top).cast("int")
     names = F.array(*(F.lit(f) for f in model.families))
-    probability = 1 / total
-    scored = scored.select(*key, F.element_at(names, place).alias("best"), probability.alias("probability"))
-    # what each family's notices share with the paragraph
+    scored = scored.select(*own, F.element_at(names, place).alias("best"), (1 / total).alias("probability"))
+    taken = (F.col("best") != UNKNOWN) & (F.col("probability") >= model.options.least)
+    scored = scored.withColumn("family", F.when(taken, F.col("best")).otherwise(UNKNOWN))
+    # what the family's notices share with the paragraph
     notices = [
-        (f, f"{f} {i}", g, sum(" " in h and h.count(" ") == 1 for h in grams(t)))
+        (f, f"{f} {i}", g, sum(h.count(" ") == 1 for h in grams(t)))
         for f, texts in NOTICES.items()
         for i, t in enumerate(texts)
         for g in grams(t)
         if g.count(" ") == 1
     ]
-    notices = F.broadcast(spark.createDataFrame(notices, "family string, notice string, pair string, size int"))
-    pairs = lines.select(*key, F.size("pairs").alias("n_pairs"), F.explode("pairs").alias("pair")).join(notices, "pair")
-    shared = pairs.groupBy(*key, "family", "notice").agg((F.count("*") / F.least(F.first("n_pairs"), F.first("size"))).alias("share"))
-    shared = shared.groupBy(*key, F.col("family").alias("best")).agg(F.max("share").alias("share"))
-    judged = scored.join(shared, [*key, "best"], "left")
-    known = (F.col("best") != UNKNOWN) & (F.col("probability") >= model.options.least)
-    return judged.select(
+    notices = F.broadcast(spark.createDataFrame(notices, "family string, notice string, gram string, size int"))
+    found = [*key, "family", "probability"]
+    shared = scored.select(*found, "n_pairs", F.explode(F.when(F.col("family") != UNKNOWN, F.col("known")).otherwise(F.array(F.lit("")))).alias("gram"))
+    shared = shared.join(notices, ["family", "gram"], "left").groupBy(*found, "notice")
+    least = F.least(F.max("n_pairs"), F.max("size"))
+    shared = shared.agg(F.when(F.col("notice").isNotNull(), F.count("size") / least).alias("share"))
+    return shared.groupBy(*found).agg(F.max("share").alias("share")).select(
         *key,
-        F.when(known, F.col("best")).otherwise(UNKNOWN).alias("family"),
+        "family",
         F.round("probability", 4).alias("probability"),
-        (known & (F.coalesce("share", F.lit(0.0)) >= model.options.overlap)).alias("confirmed"),
+        (F.coalesce("share", F.lit(0.0)) >= model.options.overlap).alias("confirmed"),
     )
 
 
 def scan(docs: DataFrame, model: LicenceModel) -> DataFrame:
     """doc_id, licences (confirmed families, sorted), n_notices, n_unconfirmed of every row.
 
-    n_notices: confirmed paragraphs; n_unconfirmed: paragraphs with a cue that are not.
+    n_notices: confirmed paragraphs; n_unconfirmed: paragraphs that the model gives a family
+    and no notice of it confirms. Every paragraph counts; no list of words comes first.
     Null and empty texts have none. Null doc_ids are kept. Repeated rows are scanned each;
     of families with the same probability the first in the model's order is taken. An empty
     table gives no rows. Other columns are not read. Texts are read twice and never
-    shuffled; only paragraphs with a cue go on, as n-grams.
+    shuffled; only paragraphs with an n-gram that a family needs go on.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"), F.xxhash64("text").alias("text_hash"), "text")
-    judged = classify(paragraphs(rows), model).groupBy("doc", "text_hash").agg(
+    judged = classify(paragraphs(rows, model), model).where(F.col("family") != UNKNOWN).groupBy("doc", "text_hash").agg(
         F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("licences"),
         F.sum(F.col("confirmed").cast("long")).alias("n_notices"),
         F.sum((~F.col("confirmed")).cast("long")).alias("n_unconfirmed"),
