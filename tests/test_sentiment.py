@@ -188,3 +188,16 @@ PHRASES = [
 def test_phrases_of_words(scored):
     for (text, value), got in zip(PHRASES, scored(*[text for text, _ in PHRASES])):
         assert got[0] == pytest.approx(compound(value), abs=2e-4), text
+
+
+def test_token_table_is_bounded(monkeypatch):
+    """Neither the table nor the arrays grow with distinct tokens, and no score changes."""
+    lexicon = Lexicon({"good": 1.5, "bad": -2.0})
+    texts = [f"w{i}a W{i}B very GOOD x{i}, not bad but y{i}! good" for i in range(3000)]
+    expected = lexicon.kernel().scores(texts)
+    monkeypatch.setattr(sentiment_batch, "KEPT_TOKENS", 100)
+    kernel = Lexicon({"good": 1.5, "bad": -2.0, "other": 1.0}).kernel()
+    for start in range(0, len(texts), 500):
+        got = kernel.scores(texts[start : start + 500])
+        assert all((got[name] == expected[name][start : start + 500]).all() for name in expected)
+        assert len(kernel._tokens) <= 100 and len(kernel._tokens.arrays()["valence"]) < 50

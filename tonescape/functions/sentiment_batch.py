@@ -1,7 +1,9 @@
 """The sentiment rules on whole batches of texts, as array arithmetic.
 
-Each distinct token is looked at once per process: cut at its edges, lower-cased, looked up.
-It gets a number, and what the rules ask of it stands in arrays under that number. A batch is
+Each distinct token is cut at its edges, lower-cased and looked up, once as long as the
+process keeps it. It gets a number, and what the rules ask of it stands in arrays under that
+number; tokens of which they ask the same share one, so the arrays are bounded by the word
+lists and the table of tokens by ``KEPT_TOKENS``, however many texts there are. A batch is
 then one array of numbers with row bounds; a word three places before is an index three less,
 and each rule is a few operations over the places of all lexicon words of the batch.
 """
@@ -10,12 +12,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 
-#: Distinct tokens kept per process; beyond that the table is begun anew.
-KEPT_TOKENS = 400_000
+#: Tokens whose numbers a process keeps; a full table is begun anew with the next run of texts.
+KEPT_TOKENS = 1 << 17
 #: Characters of text that are worked on together (a longer text by itself).
 RUN_CHARS = 1 << 20
 
@@ -56,7 +59,10 @@ class PhraseTable:
 
 
 class Tokens(dict):
-    """Token as written -> its number; the arrays are looked up by number."""
+    """Token as written -> its number; the arrays are looked up by number.
+
+    The numbers stay when the table is begun anew.
+    """
 
     FIELDS = ("valence", "boost", "negates", "caps", "raw", "low", "phrase")
 
@@ -64,7 +70,7 @@ class Tokens(dict):
         super().__init__()
         self._entries, self._phrase_words = entries, phrase_words
         self._edged, self._ends = re.compile(edges[0]), edges[1]
-        self._rows: list[tuple] = []
+        self._rows: dict[tuple, int] = {}
         self._arrays: dict[str, np.ndarray] = {}
 
     def __missing__(self, token: str) -> int:
@@ -74,18 +80,18 @@ class Tokens(dict):
             raw = (cut[1] or cut[2]) if cut else token
         low = raw.lower()
         entry = self._entries.get(low, {})
-        self._rows.append(
-            (
-                entry.get("v", np.nan),
-                entry.get("b", np.nan),
-                entry.get("n", False) or "n't" in low,
-                raw.upper() == raw and low != raw,
-                _RAW_WORDS.get(raw, 0),
-                _LOW_WORDS.get(low, 0),
-                self._phrase_words.get(raw, 0),
-            )
+        row = (
+            entry.get("v", np.nan),
+            entry.get("b", np.nan),
+            entry.get("n", False) or "n't" in low,
+            raw.upper() == raw and low != raw,
+            _RAW_WORDS.get(raw, 0),
+            _LOW_WORDS.get(low, 0),
+            self._phrase_words.get(raw, 0),
         )
-        self[token] = number = len(self._rows) - 1
+        number = self._rows.setdefault(row, len(self._rows))
+        if len(self) < KEPT_TOKENS:
+            self[token] = number
         return number
 
     def arrays(self) -> dict[str, np.ndarray]:
@@ -93,16 +99,15 @@ class Tokens(dict):
         have = len(self._arrays.get("valence", ()))
         if have < len(self._rows) or not self._arrays:
             kinds = (float, float, bool, bool, np.int8, np.int8, np.int64)
-            columns = list(zip(*self._rows[have:])) or [()] * len(kinds)
+            columns = list(zip(*islice(self._rows, have, None))) or [()] * len(kinds)
             new = {name: np.array(values, kind) for name, values, kind in zip(self.FIELDS, columns, kinds)}
             old = self._arrays
             self._arrays = {name: np.concatenate([old[name], new[name]]) for name in new} if old else new
         return self._arrays
 
     def trim(self) -> None:
-        if len(self) > KEPT_TOKENS:
+        if len(self) >= KEPT_TOKENS:
             self.clear()
-            self._rows, self._arrays = [], {}
 
 
 class Kernel:
