@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from fixtures import views
 from tonescape.functions import scalar
 from tonescape.functions.sentiment import Lexicon
 from tonescape.operators import enrich, fold_in, frequent, graph, panels, report, topics, unify
@@ -397,3 +398,25 @@ def test_frequent_terms_counts_all_where_summaries_cannot_tell(spark):
     docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
     assert frequent.candidates(docs, 20, 10) is None and frequent.candidates(docs, 20, 80) is None
     assert _ranked(frequent.frequent_terms(docs, 20, capacity=10)) == _plain_vocabulary(texts, 20)
+
+
+def test_numbering_works_its_input_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 1000, 1, 4).mapInArrow(count, "id long")
+    got = number_rows(rows, [F.col("id")], "number").collect()
+    assert sorted((r.id, r.number) for r in got) == [(i, i + 1) for i in range(1000)]
+    assert seen.value == 1000
+
+
+def test_term_lists_read_the_texts_once(spark):
+    folder = "/root/testdata/sf0.001"
+    first, second = (views.vocab(spark, folder, n) for n in (50, 400))
+    assert not any("documents" in name for df in (first, second) for name in df.inputFiles())
+    counted = frequent.vocabulary(frequent.token_counts(views.documents(spark, folder)), 50)
+    assert sorted(first.collect()) == sorted(counted.select(first.columns).collect())

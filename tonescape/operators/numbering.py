@@ -17,10 +17,12 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 
     Rows are range-partitioned and sorted, and their places are stored before anything
     is derived from them. What is left is one offset per partition. ``order`` should be
-    unique: rows that tie cannot be split over partitions.
+    unique: rows that tie cannot be split over partitions. The ranges are found by a pass
+    over stored rows, so ``df`` is worked out once.
     """
     placed = (
-        df.repartitionByRange(*order)
+        stage(df, "unnumbered")
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
