@@ -286,7 +286,7 @@ def _runs(words: Column, n: int) -> Column:
     """Runs of n words, joined by blanks."""
     count = F.size(words) - (n - 1)
     return F.when(
-        count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(words, i, n), " "))
+        count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.concat_ws(" ", *(F.get(words, i + k) for k in range(n))))
     ).otherwise(F.array().cast("array<string>"))
 
 
@@ -320,7 +320,9 @@ def classify(lines: DataFrame, model: LicenceModel) -> DataFrame:
     key = ["doc", "text_hash", "place"]
     own = [*key, "n", "n_pairs", "known"]
     weights = F.broadcast(spark.createDataFrame([(g, list(w)) for g, w in model.weights.items()], "gram string, w array<double>"))
-    rows = lines.select(*own, F.explode("known").alias("gram"))
+    # The outer form, because for the inner one Spark would make all n-grams once more to see
+    # whether a line has any.
+    rows = lines.select(*own, F.explode_outer("known").alias("gram"))
     sums = [F.sum(F.round(F.col("w")[k] * 1_000_000).cast("long")).alias(f"s{k}") for k in range(len(model.families))]
     scored = rows.join(weights, "gram").groupBy(*own).agg(*sums)
     logits = [
@@ -344,7 +346,7 @@ def classify(lines: DataFrame, model: LicenceModel) -> DataFrame:
     ]
     notices = F.broadcast(spark.createDataFrame(notices, "family string, notice string, gram string, size int"))
     found = [*key, "family", "probability"]
-    shared = scored.select(*found, "n_pairs", F.explode(F.when(F.col("family") != UNKNOWN, F.col("known")).otherwise(F.array(F.lit("")))).alias("gram"))
+    shared = scored.select(*found, "n_pairs", F.explode_outer(F.when(F.col("family") != UNKNOWN, F.col("known"))).alias("gram"))
     shared = shared.join(notices, ["family", "gram"], "left").groupBy(*found, "notice")
     least = F.least(F.max("n_pairs"), F.max("size"))
     shared = shared.agg(F.when(F.col("notice").isNotNull(), F.count("size") / least).alias("share"))
