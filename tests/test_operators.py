@@ -5,13 +5,16 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from fixtures import views
-from tonescape.functions import scalar
+from tonescape.functions import scalar, term_batch
 from tonescape.functions.sentiment import Lexicon
+from tonescape.functions.text import TERM, terms
 from tonescape.operators import enrich, fold_in, frequent, graph, panels, report, topics, unify
 from tonescape.operators.lookup import hot_keys, lookup_join
 from tonescape.operators.numbering import number_rows
@@ -420,3 +423,57 @@ def test_term_lists_read_the_texts_once(spark):
     assert not any("documents" in name for df in (first, second) for name in df.inputFiles())
     counted = frequent.vocabulary(frequent.token_counts(views.documents(spark, folder)), 50)
     assert sorted(first.collect()) == sorted(counted.select(first.columns).collect())
+
+
+def _odd_texts():
+    """Letters of every script and width beside marks, lone letters, and texts that end within words."""
+    random.seed(11)
+    points = [0x61, 0x5A, 0x5F, 0x30, 0xE9, 0x130, 0x3A3, 0x660, 0x870, 0x2160, 0x4E2D, 0xFF21, 0x10400, 0x1D7D8, 0x1F600, 0x2EBF0, 0x31350]
+    marks = [0, 0x20, 0x0A, 0x2D, 0xA0, 0x301, 0x2014, 0xFFFD, 0x1F600, 0x10FFFF]
+    texts = [None, "", "a", "é", "a b", "ab", "中", "中文", "x", "", None, "𐐀", "𐐀𐐀", " ab", "ab ", "ΑΣ ΑΣ", "áb", "ab" * 40]
+    for _ in range(300):
+        texts.append("".join(chr(random.choice(points if random.random() < 0.7 else marks)) for _ in range(random.randrange(30))))
+    return texts
+
+
+def test_terms_by_array_arithmetic_are_those_of_the_expression(spark, monkeypatch):
+    texts = _odd_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(5)
+    listed = {r.id: collections.Counter(r.t or []) for r in docs.select("id", terms(F.col("text")).alias("t")).collect()}
+    total = sum(listed.values(), collections.Counter())
+    vocab = sorted(total)[::2]
+    for block in (1, 64, 1 << 21):
+        monkeypatch.setattr(term_batch, "BLOCK", block)
+        for some in (vocab, ["none"], []):
+            got = fold_in.term_vectors(docs, some).collect()
+            assert len(got) == len(texts)
+            for r in got:
+                assert dict(zip(r._places, r._times)) == {i: listed[r.id][w] for i, w in enumerate(some) if listed[r.id][w]}
+                assert r._places == sorted(r._places)
+        lowered = pa.record_batch([pa.array([None if t is None else t.lower() for t in texts[:18]]).slice(3)], ["text"])
+        packed = term_batch.packed_letters(spark)
+        counted = collections.Counter()
+        for names, sums in term_batch.counts(iter([lowered]), packed):
+            counted.update(dict(zip(names.to_pylist(), sums.tolist())))
+        assert counted == sum((listed[i] for i in range(3, 18)), collections.Counter())
+    ranked = sorted(total.items(), key=lambda x: (-x[1], x[0].encode()))
+    for size in (5, len(total) + 1):
+        expected = [(w, n, i + 1) for i, (w, n) in enumerate(ranked[:size])]
+        assert _ranked(frequent.frequent_terms(docs, size)) == expected
+
+
+def test_every_letter_of_the_engine_is_one_of_the_table(spark):
+    """Also those of Unicode versions that Python and the engine do not share."""
+    points = [i for i in range(0x2FFFF) if not 0xD800 <= i <= 0xDFFF]
+    data = "\n".join(f"q{chr(i)}" for i in points).encode()
+    found, n = term_batch.find_terms(np.frombuffer(data, np.uint8), np.array([0, len(data)]), term_batch.letters(spark))
+    text = spark.createDataFrame([(data.decode(),)], "text string")
+    expected = text.select(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))).first()[0]
+    assert found.to_pylist() == expected and n.tolist() == [len(expected)]
+
+
+def test_counts_do_not_pass_terms_one_by_one(spark):
+    """Vocabulary and vectors: a task gets texts, never the list of each text's terms."""
+    docs = spark.createDataFrame([("aa bb",)], "text string")
+    for frame in (frequent.summaries(docs, 10), fold_in.term_vectors(docs, ["aa"])):
+        assert "regexp_extract_all" not in frame._jdf.queryExecution().optimizedPlan().toString()
