@@ -88,6 +88,28 @@ def test_other_parts_go(element):
     assert text.count(PROSE) == 2 and "harbour" not in text
 
 
+@pytest.mark.parametrize("element", ['div id="cookie-notice"', 'section class="cookies_notice"', 'div class="copyright-notices"'])
+def test_notices_go(element):
+    notice = "<p>We use cookies and the like of it to be the best that we can for you and your.</p>"
+    assert main_text(page(element, notice) + page("article", f"<p>{PROSE}</p>")) == PROSE
+    other = element.replace("notice", "noticed")
+    assert "cookies" in main_text(page(other, notice) + page("article", f"<p>{PROSE}</p>"))
+
+
+@pytest.mark.parametrize("element", ['article class="sidebar"', 'article id="related"', 'article class="post tags"'])
+def test_articles_go_by_name_only_if_they_are_short(element):
+    lines = [f"It was the {n} of the times that they had in it." for n in ("best", "worst", "first", "last", "end")]
+    short, long = (f"<p>{'</p><p>'.join(x)}</p>" for x in (lines[:2], lines))
+    assert main_text(page(element, short)) == ""
+    assert main_text(page("article", f"<p>{PROSE}</p>") + page(element, short)) == PROSE
+    assert main_text(page(element, long)) == "\n\n".join(lines)
+    assert main_text(page(element, short) * 3) == "\n\n".join(lines[:2] * 3)
+    others = page("article", f"<p>{PROSE}</p>" * 5)
+    assert main_text(others + page(element, long)).endswith("\n\n".join(lines))
+    advert = '<div class="ad-box"><p>Buy the thing of the year, it is the best there is for you and for all of us, now!</p></div>'
+    assert main_text(page(element, long + advert)) == "\n\n".join(lines)
+
+
 def test_an_element_with_most_of_the_prose_stays():
     text = main_text(page('div class="widget content"', f"<p>{PROSE}</p><p>{PROSE}</p>"))
     assert text.count(PROSE) == 2

@@ -38,7 +38,7 @@ _BAD_NAME = re.compile(
     r"topnav|breadcrumbs?|footer|foot|header|masthead|toolbar|share|sharing|social|related|recommended|recommendations?|"
     r"popup|modal|overlay|widgets?|pagination|pager|tags?|toc|copyright)"
     r"(?:[-_](?:ads?|area|banner|bar|block|body|box|button|buttons|column|container|content|form|icons|inner|items?|label|"
-    r"left|links?|list|main|menu|message|modal|module|nav|outer|overlay|panel|popup|posts|right|section|sidebar|slot|stories|"
+    r"left|links?|list|main|menu|message|modal|module|nav|notices?|outer|overlay|panel|popup|posts|right|section|sidebar|slot|stories|"
     r"text|title|top|unit|widgets?|wrap|wrapper|\d+))*",
     re.IGNORECASE,
 )
@@ -98,13 +98,14 @@ class Block:
     container: int
     #: Number of the outermost enclosing element that only its name speaks against, 0 if none.
     named: int = 0
+    #: In an article element whose name speaks against it.
+    named_article: bool = False
 
 
 def _is_bad(tag: str, attributes: str, in_article: bool) -> str:
     """What speaks against an element: "part" for certain, its "name", or nothing.
 
-    Names are compared whole, word by word. An article is never judged by its name, unless
-    that says that it is a reader's comment; nor is a header within one.
+    Names are compared whole, word by word. A header within an article is not judged by them.
     """
     if tag in _BAD or tag == "header" and not in_article:
         return "part"
@@ -119,7 +120,7 @@ def _is_bad(tag: str, attributes: str, in_article: bool) -> str:
             words = value.split()
             if any(_COMMENT_NAME.fullmatch(word) for word in words):
                 return "part"
-            if tag != "article" and any(_BAD_NAME.fullmatch(word) for word in words):
+            if any(_BAD_NAME.fullmatch(word) for word in words):
                 found = "name"
         elif name == "role":
             if value.lower() in _BAD_ROLES:
@@ -147,12 +148,13 @@ class _Open:
     article: int
     container: int
     block: str
+    named_article: bool
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order. The time is in proportion to the page."""
     found: list[Block] = []
-    stack = [_Open("", False, False, 0, 0, 0, "")]  # the page itself stays
+    stack = [_Open("", False, False, 0, 0, 0, "", False)]  # the page itself stays
     is_open: Counter[str] = Counter()
     text: list[str] = []
     in_links = link = 0
@@ -164,7 +166,9 @@ def blocks(page: str) -> list[Block]:
         if joined:
             top = stack[-1]
             heading = top.block in _HEADINGS
-            found.append(Block(joined, in_links, heading, top.article, top.outside, top.container, top.named))
+            found.append(
+                Block(joined, in_links, heading, top.article, top.outside, top.container, top.named, top.named_article)
+            )
         text.clear()
         in_links = 0
 
@@ -223,6 +227,9 @@ def blocks(page: str) -> list[Block]:
         top = stack[-1]
         bad = _is_bad(tag, attributes, top.article > 0)
         article, container, named = top.article, top.container, top.named
+        named_article = top.named_article
+        if tag == "article" and bad == "name":
+            bad, named_article = "", True
         if tag in ("article", "main") and not bad:
             articles += 1
             article = articles
@@ -234,7 +241,8 @@ def blocks(page: str) -> list[Block]:
             named = names
         if not attributes.endswith("/") or tag in _BLOCK or tag == "a":
             outside = top.outside or bad == "part"
-            stack.append(_Open(tag, bool(bad), outside, named, article, container, tag if tag in _BLOCK else top.block))
+            block = tag if tag in _BLOCK else top.block
+            stack.append(_Open(tag, bool(bad), outside, named, article, container, block, named_article))
             is_open[tag] += 1
     close_block()
     return _judge_names(found)
@@ -242,7 +250,8 @@ def blocks(page: str) -> list[Block]:
 
 def _judge_names(found: list[Block]) -> list[Block]:
     """Elements that only their name speaks against are no part of the article, unless one
-    holds more than half of the page's prose."""
+    holds more than half of the page's prose. Article elements go by their name only if all
+    those together have less text outside links than one long block."""
     prose: Counter[int] = Counter()
     if any(block.named for block in found):
         for block in found:
@@ -252,6 +261,11 @@ def _judge_names(found: list[Block]) -> list[Block]:
         total = sum(prose.values())
         for block in found:
             block.outside = block.outside or bool(block.named) and 2 * prose[block.named] <= total
+    if any(block.named_article for block in found):
+        inside = [block for block in found if block.named_article and not block.outside]
+        if sum(len(block.text) for block in inside if 2 * block.in_links < len(block.text)) < BlockRules.long:
+            for block in inside:
+                block.outside = True
     return found
 
 
